@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 RUN_DATE = "2024-02-01"
 NEXT_DATE = "2024-02-02"
 
+# The columns of the driver's tables; declared, so that no job infers them.
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+REGION = "r_regionkey int, r_name string"
+
 # Header texts as a source file might have them; they normalise to the raw names.
 HEADERS = {
     "timestamp": "Timestamp",
@@ -30,8 +37,8 @@ def transactions_raw(spark: SparkSession, sf_dir: str, copies: bool = True) -> D
     The rows are repeated by ``explode``, so ``events`` is scanned once. ``ts`` has no time
     zone, and neither has the epoch made from it.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    region = spark.read.schema(REGION).parquet(f"{sf_dir}/region.parquet")
     epoch = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     sender = F.concat(F.lit("s-"), (F.col("event_id") % 97).cast("string"))
     rows = (

@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
             case "avg-risk":
                 run_avg_risk(spark, layout, args.format, preview=True)
             case "top3":
-                run_top3(spark, layout, args.format)
+                run_top3(spark, layout, args.format, preview=True)
             case "quality":
                 run_quality(spark, layout, args.run_date, args.format, preview=True)
             case "pipeline":

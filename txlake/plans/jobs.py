@@ -103,10 +103,15 @@ def run_avg_risk(
         saved.orderBy(F.desc("avg_risk_score"), "location_region").show(truncate=False)
 
 
-def run_top3(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> None:
+def run_top3(
+    spark: SparkSession, layout: Layout, fmt: str = "parquet", preview: bool = False
+) -> None:
     """Curated table -> top three receivers by the amount of their latest sale."""
     result = top3_by_latest_sale_amount(read_curated(spark, layout, fmt))
     overwrite_table(result, layout.top3_receiving_address, fmt)
+    if preview:
+        saved = read_table(spark, layout.top3_receiving_address, fmt)
+        saved.orderBy(F.desc("amount"), "receiving_address").show(truncate=False)
 
 
 def run_quality(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from txlake.plans.jobs import (
@@ -35,7 +37,15 @@ def run_pipeline(
     run_landing(spark, source, layout, run_date)
     load_raw(spark, layout, run_date, fmt)
     profile = run_curate(spark, layout, dates, fmt)
-    run_avg_risk(spark, layout, fmt, preview)
-    run_top3(spark, layout, fmt)
+
+    # The two tables do not depend on each other: the tasks of one fill the gaps of the other.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        tables = [
+            pool.submit(inheritable_thread_target(spark)(run), spark, layout, fmt, preview)
+            for run in (run_avg_risk, run_top3)
+        ]
+    for table in tables:
+        table.result()
+
     run_quality(spark, layout, run_date, fmt, None if dates is not None else profile, preview)
     return layout

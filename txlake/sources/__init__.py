@@ -6,6 +6,7 @@ from txlake.sources.tables import (
     SchemaDriftError,
     overwrite_table,
     read_table,
+    rebalance,
     table_exists,
     write_json,
     write_partitions,
@@ -18,6 +19,7 @@ __all__ = [
     "overwrite_table",
     "read_csv_strings",
     "read_table",
+    "rebalance",
     "table_exists",
     "write_csv_strings",
     "write_json",
