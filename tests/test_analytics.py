@@ -20,15 +20,16 @@ from txlake.operators import (
 
 
 def regions(spark, *pairs):
-    rows = [{"location_region": r, "risk_score": s, "amount": str(i)} for i, (r, s) in enumerate(pairs)]
+    rows = [
+        {"location_region": region, "risk_score": score, "amount": str(i)}
+        for i, (region, score) in enumerate(pairs)
+    ]
     return [tuple(r) for r in avg_risk_score_by_region(curate(raw(spark, *rows))).collect()]
 
 
 def sales(spark, *rows):
     fields = ("receiving_address", "timestamp", "amount", "transaction_type")
-    return curate(
-        raw(spark, *[dict(zip(fields, (*r, "sale")[:4], strict=True)) for r in rows])
-    )
+    return curate(raw(spark, *[dict(zip(fields, (*r, "sale")[:4], strict=True)) for r in rows]))
 
 
 def test_region_filter(spark):
@@ -50,7 +51,8 @@ def test_nan_counts_as_a_value_and_sorts_first(spark):
 
 
 def test_equal_means_are_ordered_by_region(spark):
-    assert regions(spark, ("Z", "5"), ("A", "5"), ("M", "7")) == [("M", 7.0), ("A", 5.0), ("Z", 5.0)]
+    got = regions(spark, ("Z", "5"), ("A", "5"), ("M", "7"))
+    assert got == [("M", 7.0), ("A", 5.0), ("Z", 5.0)]
 
 
 def test_latest_is_the_latest_valid_sale(spark):
@@ -129,7 +131,8 @@ def test_against_plain_python(spark, seed):
     unique = {tuple(sorted(r.items(), key=str)): r for r in rows}.values()
     latest, scores = {}, defaultdict(list)
     for r in unique:
-        if r["transaction_type"].strip() == "sale" and r["receiving_address"] and r["amount"] != "x":
+        sale = r["transaction_type"].strip() == "sale" and r["receiving_address"]
+        if sale and r["amount"] != "x":
             new = (int(r["timestamp"]), float(r["amount"]))
             latest[r["receiving_address"]] = max(new, latest.get(r["receiving_address"], new))
         if r["location_region"] not in ("0", "", None) and r["risk_score"] != "none":

@@ -15,7 +15,10 @@ from txlake.plans import load_raw, run_curate, run_landing, run_pipeline, run_qu
 from txlake.plans.jobs import read_curated, read_raw
 from txlake.sources import Layout, read_table, rebalance, write_partitions
 
-HEADER = "Timestamp,Amount,Risk Score,Transaction Type,Location Region,Sending Address,Receiving Address,Note"
+HEADER = (
+    "Timestamp,Amount,Risk Score,Transaction Type,Location Region,"
+    "Sending Address,Receiving Address,Note"
+)
 DAY_1 = [
     "100,10,50,sale,ASIA,s,a,x",
     "100,10,50,sale,ASIA,s,a,x",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,18 @@ def test_invalid_counts_do_not_shuffle_rows(spark, layout):
     assert "SinglePartition" in text
 
 
+def test_curating_one_date_reads_only_its_directory(spark, layout):
+    """A file that is not Parquet in another date's directory does no harm."""
+    broken = Path(layout.raw, "processing_date=2024-02-02", "part-broken.parquet")
+    broken.write_text("not a table")
+    try:
+        assert run_curate(spark, layout, ["2024-02-01"])["total_records"] == 2
+        with pytest.raises(Exception, match="part-broken"):
+            run_curate(spark, layout)
+    finally:
+        broken.unlink()
+
+
 @pytest.mark.parametrize("read", [read_raw, read_curated])
 def test_dates_prune_partitions(spark, layout, read):
     df = read(spark, layout)

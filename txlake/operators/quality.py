@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.functions.names import (
@@ -198,7 +197,7 @@ def build_report(
     )
 
 
-def profile_frame(spark: Any, profile: Mapping[str, int]) -> DataFrame:
+def profile_frame(spark: SparkSession, profile: Mapping[str, int]) -> DataFrame:
     """A ``profile_raw`` row from counts that were observed while writing another table."""
     fields = [TOTAL, DUPLICATES, *raw_checks()]
     row = tuple(int(profile.get(name) or 0) for name in fields)

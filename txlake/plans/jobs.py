@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from txlake.functions.casts import lenient_date
 from txlake.functions.names import PROCESSING_DATE
 from txlake.operators.analytics import avg_risk_score_by_region, top3_by_latest_sale_amount
 from txlake.operators.curate import trim_columns, type_columns
@@ -36,6 +37,15 @@ def read_raw(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> DataF
     return read_table(spark, layout.raw, fmt, {PROCESSING_DATE: "string"})
 
 
+def _read_raw_rows(spark: SparkSession, layout: Layout, fmt: str) -> DataFrame:
+    """Raw rows with the run date in its stored type.
+
+    For grouping whole rows, where text would be formatted row by row and widen the key.
+    Run dates are all written in one format, so equal dates are equal texts.
+    """
+    return read_table(spark, layout.raw, fmt)
+
+
 def read_curated(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> DataFrame:
     return read_table(spark, layout.curated, fmt, {PROCESSING_DATE: "date"})
 
@@ -73,9 +83,10 @@ def run_curate(
     while they are written. The observation sits after the last shuffle, where Spark
     counts each task once even if it is retried.
     """
-    raw = read_raw(spark, layout, fmt)
+    raw = _read_raw_rows(spark, layout, fmt)
     if dates is not None:
-        raw = raw.filter(F.col(PROCESSING_DATE).isin(*dates))
+        wanted = [lenient_date(F.lit(d)) for d in dates]
+        raw = raw.filter(lenient_date(PROCESSING_DATE).isin(*wanted))
 
     distinct = count_copies(raw)
     if dates is None or len(dates) > 1:
@@ -128,7 +139,7 @@ def run_quality(
     the raw table; without it the raw table is profiled here.
     """
     raw_profile = (
-        profile_raw(read_raw(spark, layout, fmt))
+        profile_raw(_read_raw_rows(spark, layout, fmt))
         if profile is None
         else profile_frame(spark, profile)
     )
