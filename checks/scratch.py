@@ -1,22 +1,5 @@
 """Where queries that write tables put them."""
 
-from __future__ import annotations
+from txlake.sources.scratch import scratch_dir
 
-import tempfile
-from uuid import uuid4
-
-from pyspark.sql import SparkSession
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A new directory URI in the shared folder the session names for checkpoints.
-
-    Only a local session without that setting gets a temporary folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/txlake-{uuid4().hex}"
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="txlake-")
+__all__ = ["scratch_dir"]

@@ -2,6 +2,7 @@
 
 from txlake.sources.csv_files import land_snapshot, read_csv_strings, write_csv_strings
 from txlake.sources.layout import Layout
+from txlake.sources.scratch import scratch_dir
 from txlake.sources.tables import (
     SchemaDriftError,
     overwrite_table,
@@ -20,6 +21,7 @@ __all__ = [
     "read_csv_strings",
     "read_table",
     "rebalance",
+    "scratch_dir",
     "table_exists",
     "write_csv_strings",
     "write_json",
