@@ -62,7 +62,7 @@ class Lines:
 def _per_span(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.zeros(len(mask) + 1, np.int32)
     np.cumsum(mask, out=total[1:])
-    return total[ends] - total[starts]
+    return (total[ends] - total[starts]).astype(np.int64)
 
 
 def _repeats(groups: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
