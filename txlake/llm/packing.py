@@ -37,7 +37,7 @@ PIECES = (
     "doc_id bigint, start bigint, length bigint, doc_tokens bigint, "
     "piece_id bigint, chunk bigint, rank_in_chunk bigint, ids binary, ids_crc32 bigint"
 )
-_BATCH_CHARS = 4 << 20
+_BATCH_CHARS = 3 << 20
 
 
 @dataclass(frozen=True)

@@ -44,7 +44,7 @@ INDEX = (
 )
 FOUND = "doc_id bigint, copy bigint, block_id bigint, start bigint, length bigint"
 
-_BATCH_CHARS = 4 << 20
+_BATCH_CHARS = 3 << 20
 
 
 @dataclass(frozen=True)
