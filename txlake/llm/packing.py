@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlake.llm.tokens import encoder, vocabulary_path
+from txlake.llm.tokens import encoded_slices, vocabulary_path
 from txlake.llm.working import stored
 
 CAPACITY = 1024
@@ -37,7 +37,6 @@ PIECES = (
     "doc_id bigint, start bigint, length bigint, doc_tokens bigint, "
     "piece_id bigint, chunk bigint, rank_in_chunk bigint, ids binary, ids_crc32 bigint"
 )
-_BATCH_CHARS = 3 << 20
 
 
 @dataclass(frozen=True)
@@ -112,22 +111,15 @@ def cut_documents(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
         chunk = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         pieces = 0
         end = np.array([end_id], "u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            first = 0
-            while first < len(texts):
-                last, chars = first, 0
-                while last < len(texts) and (last == first or chars < _BATCH_CHARS):
-                    chars += len(texts[last] or "")
-                    last += 1
+            ids = batch.column(0).to_pylist()
+            for part, encoded in encoded_slices(batch.column(1), vocabulary):
                 rows = []
-                encoded = encode([t or "" for t in texts[first:last]])
-                for doc_id, data in zip(ids[first:last], encoded, strict=True):
+                for doc_id, data in zip(ids[part], encoded, strict=True):
                     data += end
                     n = len(data) // 4
                     for start in range(0, n, capacity):
@@ -146,7 +138,6 @@ def cut_documents(
                     ],
                     names=[c.split()[0] for c in PIECES.split(", ")],
                 )
-                first = last
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(cut, PIECES)
 

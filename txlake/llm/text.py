@@ -93,8 +93,8 @@ def spans(
 def _power(kind: int, n: int) -> np.ndarray:
     held = _powers.get(kind)
     if held is None or len(held) < n:
-        steps = np.full(max(n, SLICE_BYTES + 1), kind, np.uint64)
-        steps[0] = 1
+        steps = np.full(n + n // 8, kind, np.uint64)
+        steps[:1] = 1
         held = _powers[kind] = np.cumprod(steps)
     return held[:n]
 

@@ -26,11 +26,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlake.llm.text import mix
-from txlake.llm.tokens import encoder, vocabulary_path
+from txlake.llm.tokens import encoded_slices, encoder, vocabulary_path
 from txlake.llm.working import shuffle_partitions, stored, stored_buckets
 
 END_ID = 2
-BLOCK_IDS = 1 << 21
+BLOCK_IDS = 1 << 17
 BUCKET_KEYS = 2000
 NO_ID = -(1 << 63)  # stands for a null doc_id, which sorts first
 
@@ -44,8 +44,6 @@ INDEX = (
 )
 FOUND = "doc_id bigint, copy bigint, block_id bigint, start bigint, length bigint"
 
-_BATCH_CHARS = 3 << 20
-
 
 @dataclass(frozen=True)
 class TokenStore:
@@ -142,29 +140,20 @@ def write_blocks(
     id_bytes = 2 if encoder(vocabulary).size <= 1 << 16 else 4
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(vocabulary).encode
         end = np.array([end_id], f"<u{id_bytes}").tobytes()
         for batch in batches:
             ids = np.asarray(batch.column(0))
             shard = np.searchsorted(bounds, ids.astype(np.float64), side="right")
-            texts = batch.column(1).to_pylist()
-            first = 0
-            while first < len(texts):
-                last, chars = first, 0
-                while last < len(texts) and (last == first or chars < _BATCH_CHARS):
-                    chars += len(texts[last] or "")
-                    last += 1
-                encoded = tokens([t or "" for t in texts[first:last]])
-                narrow = [np.frombuffer(e, "u4").astype(f"<u{id_bytes}") for e in encoded]
+            for rows, encoded in encoded_slices(batch.column(1), vocabulary):
+                narrow = (np.frombuffer(e, "u4").astype(f"<u{id_bytes}") for e in encoded)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(shard[first:last], pa.int64()),
-                        pa.array(ids[first:last], pa.int64()),
+                        pa.array(shard[rows], pa.int64()),
+                        pa.array(ids[rows], pa.int64()),
                         pa.array([e.tobytes() + end for e in narrow], pa.binary()),
                     ],
                     names=["shard", "doc_id", "ids"],
                 )
-                first = last
 
     def layout(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids: list[int] = []

@@ -13,15 +13,17 @@ from __future__ import annotations
 import os
 import string
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
-from txlake.llm.text import mix, span_hashes, spans
+from txlake.llm.text import mix, slices, span_hashes, spans, utf8
 
 BYTE_BPE = "byte_bpe_50k.json"
-KEPT_WORDS = 250_000
+KEPT_WORDS = 150_000
+BATCH_BYTES = 3 << 20
 
 #: Fixed value: what the byte-level vocabulary writes for a leading space.
 _SPACE_MARK = "\u0120"
@@ -204,3 +206,13 @@ def _same_ends(
 def encoder(path: str) -> Encoder:
     """One encoder per vocabulary and Python worker."""
     return Encoder(path)
+
+
+def encoded_slices(
+    column: pa.Array, vocabulary: str, limit: int = BATCH_BYTES
+) -> Iterator[tuple[slice, list[bytes]]]:
+    """Rows of a column, some megabytes of text at a time, and their ids; null is empty."""
+    encode = encoder(vocabulary).encode
+    for rows in slices(utf8(column)[1], limit):
+        texts = column.slice(rows.start, rows.stop - rows.start).to_pylist()
+        yield rows, encode([t or "" for t in texts])
