@@ -368,7 +368,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = stored(sign(ids.filter("doc_id is not null")), "signatures")
     worded = signed.filter(F.size("keys") > 0)
-    classes = worded.groupBy("class_a", "class_b").agg(F.min("doc_id").alias("copy_of"))
+    # Written, so that both sides of the join are shuffled and a hot class can be split.
+    classes = stored(
+        worded.groupBy("class_a", "class_b").agg(F.min("doc_id").alias("copy_of")), "classes"
+    )
     copies = stored(
         worded.select("doc_id", "class_a", "class_b")
         .join(classes, ["class_a", "class_b"])
