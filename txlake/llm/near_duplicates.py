@@ -263,7 +263,7 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
 
 
 def similarities(sets: list[np.ndarray]) -> np.ndarray:
-    """The Jaccard similarity of every two sets of one group, exactly.
+    """The Jaccard similarity of every two different sets of one group, exactly.
 
     Only values that several sets share are counted, some columns of the incidence matrix
     at a time.
