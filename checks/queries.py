@@ -28,7 +28,7 @@ from txlake.operators import (
     exact_dedup,
     invalid_counts,
     latest_sales,
-    layer_totals,
+    distinct_totals,
     normalize_columns,
     output_checks,
     profile_raw,
@@ -267,7 +267,7 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_layer_reconciliation")
 def dq_layer_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = transactions_raw(spark, sf_dir)
-    return layer_totals(raw, raw.transform(curate))
+    return distinct_totals(raw)
 
 
 @query("dq_output_checks")

@@ -139,7 +139,9 @@ def test_curating_a_date_without_rows(spark, base):
     layout = Layout(base)
     write_partitions(raw(spark, {}), layout.raw, ["processing_date"])
     run_curate(spark, layout)
-    assert set(run_curate(spark, layout, ["1999-01-01"]).values()) == {0}
+    for wrong in ("1999-01-01", "2024-13-45", "2024/02/01"):
+        with pytest.raises(ValueError):
+            run_curate(spark, layout, [wrong])
     assert read_curated(spark, layout).count() == 1
 
 

@@ -200,3 +200,13 @@ def test_layout():
         "s3a://bucket/lake/landing/transactions/ingest_date=2024-02-01"
     )
     assert layout.raw == "s3a://bucket/lake/raw/transactions"
+
+
+@pytest.mark.parametrize("other", ["region,amount\nEUROPE,2\n", "amount,region,x\n2,EUROPE,y\n", "amount\n2\n"])
+def test_files_with_different_headers_are_refused(spark, base, other):
+    folder = Path(base) / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text("amount,region\n1,ASIA\n1,ASIA\n")
+    (folder / "b.csv").write_text(other)
+    with pytest.raises(Exception, match="header"):
+        read_csv_strings(spark, str(folder)).collect()

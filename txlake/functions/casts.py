@@ -10,7 +10,7 @@ from txlake.functions.names import ColumnOrName, column
 # timestamp_seconds works in microseconds, so seconds beyond this overflow a long.
 _MAX_EPOCH_SECONDS = (2**63 - 1) // 1_000_000
 
-_FRACTION = r"^(\s*[+-]?[0-9]+)[.][0-9]*(\s*)$"
+_FRACTION = r"^(\s*[+-]?)([0-9]*)[.][0-9]*(\s*)$"
 
 
 def lenient_double(c: ColumnOrName) -> Column:
@@ -18,14 +18,14 @@ def lenient_double(c: ColumnOrName) -> Column:
 
 
 def lenient_long(c: ColumnOrName) -> Column:
-    """String to bigint, dropping a decimal fraction (``'12.7'`` -> 12).
+    """String to bigint, dropping a decimal fraction (``'12.7'`` -> 12, ``'.5'`` -> 0).
 
     The regular expression runs only for text that is not already a plain integer.
     """
     text = column(c)
     return F.coalesce(
         text.try_cast("bigint"),
-        F.regexp_replace(text, _FRACTION, "$1").try_cast("bigint"),
+        F.regexp_replace(text, _FRACTION, "$10$2$3").try_cast("bigint"),
     )
 
 

@@ -15,6 +15,7 @@ from txlake.operators.quality import (
     build_report,
     count_copies,
     invalid_counts,
+    distinct_totals,
     layer_totals,
     output_checks,
     profile_raw,
@@ -32,6 +33,7 @@ __all__ = [
     "invalid_counts",
     "latest_per_key",
     "latest_sales",
+    "distinct_totals",
     "layer_totals",
     "normalize_columns",
     "output_checks",

@@ -30,6 +30,11 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*headers)
 
 
+def checked_date(run_date: str) -> str:
+    """The run date as ``yyyy-MM-dd``; raises ``ValueError`` for anything that is no date."""
+    return date.fromisoformat(run_date).isoformat()
+
+
 def stamp_run_date(df: DataFrame, run_date: str, name: str = PROCESSING_DATE) -> DataFrame:
     """Add the run date as a ``yyyy-MM-dd`` string column."""
-    return df.withColumn(name, F.lit(date.fromisoformat(run_date).isoformat()))
+    return df.withColumn(name, F.lit(checked_date(run_date)))

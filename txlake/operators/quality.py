@@ -118,6 +118,17 @@ def count_rows(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def distinct_totals(raw: DataFrame) -> DataFrame:
+    """``layer_totals`` of a raw table and what ``curate`` keeps of it, in one pass."""
+    n = column(COPIES)
+    total, distinct = F.coalesce(F.sum(n), F.lit(0)), F.count(n)
+    return count_copies(raw).agg(
+        total.alias("raw_total_records"),
+        distinct.alias("curated_total_records"),
+        (total - distinct).alias("removed_records"),
+    )
+
+
 def layer_totals(raw: DataFrame, curated: DataFrame) -> DataFrame:
     """One row: rows in raw, rows in curated, and how many fewer the latter are."""
     totals = one_row(

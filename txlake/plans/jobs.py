@@ -11,7 +11,7 @@ from txlake.functions.casts import lenient_date
 from txlake.functions.names import PROCESSING_DATE
 from txlake.operators.analytics import avg_risk_score_by_region, top3_by_latest_sale_amount
 from txlake.operators.curate import trim_columns, type_columns
-from txlake.operators.ingest import normalize_columns, stamp_run_date
+from txlake.operators.ingest import checked_date, normalize_columns, stamp_run_date
 from txlake.operators.quality import (
     COPIES,
     build_report,
@@ -75,7 +75,8 @@ def run_curate(
 ) -> dict[str, int]:
     """Raw table -> curated table; returns the quality profile of the raw rows read.
 
-    ``dates`` limits the run to some dates. The result is the same as that of a full run,
+    ``dates`` limits the run to some dates; each must be a date that the raw table has, else
+    ``ValueError`` is raised before anything is written. The result is the same as that of a full run,
     because rows of different dates are never duplicates of each other.
 
     Deduplicating whole rows is the most expensive step of the pipeline, and the quality
@@ -85,8 +86,12 @@ def run_curate(
     """
     raw = _read_raw_rows(spark, layout, fmt)
     if dates is not None:
-        wanted = [lenient_date(F.lit(d)) for d in dates]
-        raw = raw.filter(lenient_date(PROCESSING_DATE).isin(*wanted))
+        wanted = sorted({checked_date(d) for d in dates})
+        stored = lenient_date(PROCESSING_DATE)
+        raw = raw.filter(stored.isin(*[F.lit(d).cast("date") for d in wanted]))
+        present = {str(r[0]) for r in raw.select(stored).distinct().collect()}
+        if missing := sorted(set(wanted) - present):
+            raise ValueError(f"the raw table has no rows of {missing}")
 
     distinct = count_copies(raw)
     if dates is None or len(dates) > 1:
@@ -149,6 +154,7 @@ def run_quality(
         table_exists(spark, layout.avg_risk_score_by_region),
         table_exists(spark, layout.top3_receiving_address),
     )
+    run_date = checked_date(run_date)
     landing = layout.landing(run_date)
     report = build_report(
         run_date,

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+from txlake.operators.ingest import checked_date
 from txlake.plans.jobs import (
     load_raw,
     run_avg_risk,
@@ -33,6 +34,9 @@ def run_pipeline(
     By default all dates of the raw table are curated again. ``dates`` curates only some;
     the report then profiles the whole raw table in a pass of its own.
     """
+    run_date = checked_date(run_date)
+    if dates is not None and run_date not in {checked_date(d) for d in dates}:
+        raise ValueError(f"dates must include the run date {run_date}")
     layout = Layout(base)
     run_landing(spark, source, layout, run_date)
     load_raw(spark, layout, run_date, fmt)

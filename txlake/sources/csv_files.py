@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
-    """Read CSV with a header line, every column as a string."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Read CSV with a header line, every column as a string.
+
+    All files must have the same header: reading fails where one differs, rather than
+    putting values under another file's names.
+    """
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
 
 def write_csv_strings(df: DataFrame, path: str) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from txlake.operators.ingest import checked_date
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -14,7 +16,7 @@ class Layout:
         return "/".join((self.base.rstrip("/"), *parts))
 
     def landing(self, run_date: str) -> str:
-        return self._uri("landing", self.table, f"ingest_date={run_date}")
+        return self._uri("landing", self.table, f"ingest_date={checked_date(run_date)}")
 
     @property
     def raw(self) -> str:
