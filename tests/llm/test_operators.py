@@ -198,3 +198,16 @@ def test_pipeline(spark, sample):
     packed = corpus_pipeline.run(spark, SF).toPandas()
     assert set(packed["doc_id"]) == kept and len(kept) > 50
     assert packed.groupby("sequence_id")["length"].sum().max() <= 1024
+
+
+def test_line_dedup_counts_all_words_of_long_lines(spark):
+    rows = []
+    for k, word in enumerate("abcdefgh"):
+        line = f"{word} " * 30_000 + f"x{word} " * 7
+        rows += [(2 * k, line), (2 * k + 1, line)]
+    # On both sides of what was a switch by size.
+    near = " ".join(f"n{k % 5000}" for k in range(14_990))
+    rows += [(100, near), (101, near + " more" * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = {r["doc_id"]: r["n_removed"] for r in dedup_lines(docs).collect()}
+    assert removed == {k: k % 2 for k, _ in rows}
