@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 from itertools import combinations
@@ -10,6 +11,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from compare import assert_same
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -211,3 +213,29 @@ def test_line_dedup_counts_all_words_of_long_lines(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     removed = {r["doc_id"]: r["n_removed"] for r in dedup_lines(docs).collect()}
     assert removed == {k: k % 2 for k, _ in rows}
+
+
+def test_line_dedup_finds_near_lines(spark):
+    """Against brute force: nearly all pairs with an edit similarity of 0.8 are found."""
+    draw = random.Random(5)
+    vocabulary = ["".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 9))) for _ in range(5000)]
+    rows = []
+    for k in range(300):
+        words = draw.choices(vocabulary, k=draw.choice((10, 12, 20, 30, 50, 100)))
+        near = list(words)
+        for at in draw.sample(range(len(words)), draw.randint(1, len(words) // 6)):
+            near[at] = draw.choice(vocabulary)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(near))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = docs.selectExpr("doc_id div 2 as pair", "doc_id", "text")
+    similar = (
+        texts.groupBy("pair")
+        .agg(F.min_by("text", "doc_id").alias("a"), F.max_by("text", "doc_id").alias("b"))
+        .filter("levenshtein(a, b) <= floor(0.2 * greatest(length(a), length(b)) + 1e-9)")
+    )
+    wanted = {2 * r["pair"] + 1 for r in similar.collect()}
+    removed = {r["doc_id"] for r in dedup_lines(docs).filter("n_removed = 1").collect()}
+    print(f"found {len(removed)} of {len(wanted)}")
+    assert len(wanted) > 200
+    assert removed <= wanted
+    assert len(removed) >= 0.98 * len(wanted)
