@@ -9,19 +9,21 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import assert_same
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from txlake.llm import chat_formatting, packing, token_store
+from txlake.llm import chat_formatting, packing, substring_dedup, token_store
 from txlake.llm.contamination import drop_leaked, leaks
 from txlake.llm.line_dedup import dedup_lines
 from txlake.llm.near_duplicates import keep_one, near_duplicates
 from txlake.llm.pairwise_quality import score_quality, train_ranking
 from txlake.llm.quality_rules import COUNTS, judge, train_line_model
 from txlake.llm.substring_dedup import remove_repeats
+from txlake.llm.text import utf8
 
 SF = "/root/testdata/sf0.001"
 
@@ -239,3 +241,48 @@ def test_line_dedup_finds_near_lines(spark):
     assert len(wanted) > 200
     assert removed <= wanted
     assert len(removed) >= 0.98 * len(wanted)
+
+
+def test_substring_dedup_splits_hot_anchors(spark):
+    """A line of 30 bytes between different texts: no bucket gets all of its contexts."""
+    draw = random.Random(7)
+    hot = "the same thirty bytes in each."
+    sides = ["".join(draw.choices("abcdefgh ", k=60)) for _ in range(400)]
+    rows = [(k, f"{sides[k]}\n{hot}\n{sides[-k]}") for k in range(390)]
+    rows += [(1000 + k, f"x{sides[k]}\n{hot}\n{sides[-k - 1]}") for k in range(0, 390, 3)]
+    # Nothing else is shared but the sides themselves; ids do not follow the chunks.
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen: dict[str, int] = {}
+    for doc, text in rows:
+        for k in range(len(text) - 49):
+            seen.setdefault(text[k : k + 50], doc)
+    want = {}
+    for doc, text in rows:
+        gone = np.zeros(len(text), bool)
+        for k in range(len(text) - 49):
+            if seen[text[k : k + 50]] < doc:
+                gone[k : k + 50] = True
+        want[doc] = "".join(c for c, x in zip(text, gone) if not x)
+    for limit in (20, substring_dedup.HOT_CONTEXTS):
+        found = remove_repeats(docs, hot_contexts=limit).collect()
+        assert {r["doc_id"]: bytes(r["kept"]).decode() for r in found} == want
+    # The same steps in this process on more rows, for the sizes of the buckets.
+    rows = [
+        (k, "".join(draw.choices("abcdefgh ", k=60)) + f"\n{hot}\n" + str(k) * 30)
+        for k in range(5000)
+    ]
+    data, offsets = utf8(pa.array([t for _, t in rows]))
+    texts = pa.table({"text": [t for _, t in rows], "doc_id": [d for d, _ in rows]})
+    key = (pa.scalar(0),)
+    largest = []
+    sent = substring_dedup._send_hashes(512)(key, texts).to_pandas()
+    for limit in (20, substring_dedup.HOT_CONTEXTS):
+        told = [
+            substring_dedup._find_shared(limit)((pa.scalar(b),), pa.Table.from_pandas(part))
+            for b, part in sent.groupby("bucket")
+        ]
+        got = substring_dedup._contexts(data, offsets, pa.concat_tables(told), 512)
+        largest.append(int(np.bincount(got.bucket).max()))
+    print(largest)
+    assert largest[1] > 500
+    assert largest[0] < largest[1] / 4
