@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from txlake.llm import chat_formatting, packing, substring_dedup, token_store
+from txlake.llm import chat_formatting, packing, quality_rules, substring_dedup, token_store
 from txlake.llm.contamination import drop_leaked, leaks
 from txlake.llm.line_dedup import dedup_lines
+from txlake.llm.line_features import LINE_FEATURES
 from txlake.llm.near_duplicates import keep_one, near_duplicates
 from txlake.llm.pairwise_quality import score_quality, train_ranking
 from txlake.llm.quality_rules import COUNTS, judge, train_line_model
@@ -286,3 +287,25 @@ def test_substring_dedup_splits_hot_anchors(spark):
     print(largest)
     assert largest[1] > 500
     assert largest[0] < largest[1] / 4
+
+
+def test_training_counts_a_document_once(spark, sample):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model, ranking = train_line_model(sample, labels), train_ranking(sample, labels)
+    ids = labels.filter("quality = 0").select("doc_id").join(sample, "doc_id")
+    hot = ids.filter("pmod(crc32(cast(doc_id as string)), 5) <> 0").agg(F.min("doc_id")).first()[0]
+    copies = sample.join(spark.range(len(texts_of(sample)) // 2).select(), how="cross")
+    skewed = sample.unionByName(copies.filter(F.col("doc_id") == hot))
+    again = train_line_model(skewed, labels)
+    assert np.array_equal(again.emission, model.emission)
+    assert np.array_equal(again.change, model.change)
+    assert np.array_equal(train_ranking(skewed, labels).weights, ranking.weights)
+    # Lines are bounded, too.
+    seen = []
+    fit, quality_rules.fit_lines = quality_rules.fit_lines, lambda *a: seen.append(a)
+    try:
+        train_line_model(skewed, labels, doc_lines=3)
+    finally:
+        quality_rules.fit_lines = fit
+    features, _, n_lines = seen[0]
+    assert features.shape == (n_lines.sum(), len(LINE_FEATURES)) and n_lines.max() == 3

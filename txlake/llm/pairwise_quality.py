@@ -133,8 +133,9 @@ def train_ranking(
     """Learn from labelled documents outside fold 0 of crc32(doc_id as text) mod ``folds``.
 
     At most ``training_docs`` documents are used, those whose id hashes smallest, so kinds
-    keep their proportions; only their features come to the driver. Of conflicting labels
-    of a document the smaller counts.
+    keep their proportions; only their features come to the driver. A document counts once,
+    however many rows have its id: with the least of their texts. Of conflicting labels of a
+    document the smaller counts.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("bigint"), "quality")
@@ -158,6 +159,8 @@ def train_ranking(
     rows = (
         docs.select(F.col("doc_id").cast("bigint"), "text")
         .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min("text").alias("text"))
         .select("doc_id", "text", "quality")
         .mapInArrow(extract, "doc_id bigint, quality bigint, features binary")
         .collect()

@@ -21,6 +21,8 @@ from txlake.llm.text import text_slices
 
 CONTENT_SHARE = 0.5
 TRAINING_DOCS = 4000
+#: Lines of a document that are learned from; 72 bytes each come to the driver.
+TRAINING_DOC_LINES = 250
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
@@ -170,14 +172,19 @@ def fit_lines(
 
 
 def train_line_model(
-    docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS
+    docs: DataFrame,
+    labels: DataFrame,
+    training_docs: int = TRAINING_DOCS,
+    doc_lines: int = TRAINING_DOC_LINES,
 ) -> LineModel:
     """Learn the chain from the lines of labelled documents.
 
     The lines of a document of quality 1 count as content, those of quality 0 as
     boilerplate. At most ``training_docs`` documents of each quality are used, those whose
-    id hashes smallest; only the features of their lines come to the driver. Without both
-    kinds of label every line is content, so that the base rules alone decide.
+    id hashes smallest; only the features of their lines come to the driver. A document
+    counts once, however many rows have its id, with the least of their texts, and with its
+    first ``doc_lines`` lines. Without both kinds of label every line is content, so that
+    the base rules alone decide.
     """
     hashed = F.xxhash64("doc_id")
     known = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
@@ -188,8 +195,11 @@ def train_line_model(
         for kind in (0, 1)
     ]
     chosen = bounded[0].union(bounded[1])
-    sample = docs.select(F.col("doc_id").cast("bigint"), "text").join(
-        F.broadcast(chosen), "doc_id"
+    sample = (
+        docs.select(F.col("doc_id").cast("bigint"), "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min("text").alias("text"))
     )
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +212,13 @@ def train_line_model(
                     [
                         batch.column(0).slice(rows.start, rows.stop - rows.start),
                         batch.column(2).slice(rows.start, rows.stop - rows.start).cast("int64"),
-                        pa.array([flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]),
+                        pa.array(
+                            [
+                                flat[a : min(b, a + doc_lines)].tobytes()
+                                for a, b in zip(cuts, cuts[1:])
+                            ],
+                            pa.binary(),
+                        ),
                     ],
                     names=["doc_id", "quality", "features"],
                 )
