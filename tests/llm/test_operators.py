@@ -309,3 +309,14 @@ def test_training_counts_a_document_once(spark, sample):
         quality_rules.fit_lines = fit
     features, _, n_lines = seen[0]
     assert features.shape == (n_lines.sum(), len(LINE_FEATURES)) and n_lines.max() == 3
+
+
+def test_threshold_is_over_all_labelled_documents(spark, sample):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").dropDuplicates(["doc_id"])
+    # Labels that features do not separate, so that the place of the threshold matters.
+    labels = labels.withColumn("quality", F.expr("if(doc_id % 3 = 0, 0, quality)"))
+    ranking = train_ranking(sample, labels, training_docs=8)
+    scored = score_quality(sample, ranking).join(labels, "doc_id").filter("not held_out")
+    assert scored.count() > 40
+    below = scored.filter("predicted = 0").count()
+    assert abs(below - scored.filter("quality = 0").count()) <= 1

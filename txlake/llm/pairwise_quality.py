@@ -3,13 +3,13 @@
 A document's utility is linear in its features. In a preference pair the first document is
 better with probability sigmoid(difference of utilities), so the weights are found by
 logistic loss on feature differences, without an intercept. The utility threshold is a
-quantile of the utilities of the training documents: the share that is labelled bad.
+quantile of the utilities of all labelled documents: the share that is labelled bad.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 
 from txlake.llm.line_features import base_counts, line_table
 from txlake.llm.text import text_slices
+from txlake.llm.working import stored
 
 FOLDS = 5
 SCORE_THRESHOLD = 0.3
 TRAINING_DOCS = 5000
 PAIRS = 40_000
+#: Ranks of the threshold are exact for fewer labelled documents than this.
+RANKS = 1_000_000
 
 COLUMNS = "doc_id bigint, held_out boolean, score double, predicted int"
 
@@ -38,9 +41,11 @@ class Ranking:
     spread: float
     at: float = SCORE_THRESHOLD
 
+    def utility(self, features: np.ndarray) -> np.ndarray:
+        return (features - self.mean) / self.scale @ self.weights
+
     def score(self, features: np.ndarray) -> np.ndarray:
-        utility = (features - self.mean) / self.scale @ self.weights
-        shifted = (utility - self.threshold) / self.spread + np.log(self.at / (1 - self.at))
+        shifted = (self.utility(features) - self.threshold) / self.spread + np.log(self.at / (1 - self.at))
         return 1 / (1 + np.exp(-np.clip(shifted, -500, 500)))
 
 
@@ -132,19 +137,19 @@ def train_ranking(
 ) -> Ranking:
     """Learn from labelled documents outside fold 0 of crc32(doc_id as text) mod ``folds``.
 
-    At most ``training_docs`` documents are used, those whose id hashes smallest, so kinds
-    keep their proportions; only their features come to the driver. A document counts once,
+    The weights come from at most ``training_docs`` documents, those whose id hashes
+    smallest, so kinds keep their proportions; only their features come to the driver. The
+    threshold comes from all labelled documents outside fold 0. A document counts once,
     however many rows have its id: with the least of their texts. Of conflicting labels of a
     document the smaller counts.
     """
-    chosen = (
+    known = (
         labels.select(F.col("doc_id").cast("bigint"), "quality")
         .filter((_fold(folds) != 0) & F.col("quality").isin(0, 1))
         .groupBy("doc_id")
         .agg(F.min("quality").cast("bigint").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(training_docs)
     )
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(training_docs)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +173,43 @@ def train_ranking(
     rows.sort(key=lambda r: (r["doc_id"], r["features"]))
     width = text_features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
     features = np.array([np.frombuffer(r["features"], "<f8") for r in rows]).reshape(-1, width)
-    return fit_ranking(features, np.array([r["quality"] for r in rows]))
+    ranking = fit_ranking(features, np.array([r["quality"] for r in rows]))
+    return with_threshold(ranking, docs, known) if ranking.weights.any() else ranking
+
+
+def with_threshold(ranking: Ranking, docs: DataFrame, known: DataFrame) -> Ranking:
+    """Set threshold and spread by the utilities of all documents in ``known``.
+
+    ``known`` has each ``doc_id`` once, with its ``quality``. Rows of one id count once, with
+    the least utility.
+    """
+
+    def utilities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in text_slices(batch.column(1)):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(rows.start, rows.stop - rows.start),
+                        pa.array(ranking.utility(text_features(data, offsets))),
+                    ],
+                    names=["doc_id", "utility"],
+                )
+
+    found = stored(
+        docs.select(F.col("doc_id").cast("bigint"), "text")
+        .mapInArrow(utilities, "doc_id bigint, utility double")
+        .groupBy("doc_id")
+        .agg(F.min("utility").alias("utility"))
+        .join(known, "doc_id"),
+        "utilities",
+    )
+    count, bad, spread = found.agg(
+        F.count(F.lit(1)), F.count_if(F.col("quality") == 0), F.stddev_pop("utility")
+    ).first()
+    cut = min(count - 1, bad)
+    ranks = [(max(1, cut) - 0.5) / count, (cut + 0.5) / count]
+    around = found.agg(F.percentile_approx("utility", ranks, RANKS)).first()[0]
+    return replace(ranking, threshold=sum(around) / 2, spread=(spread or 1.0) / 4)
 
 
 def score_quality(docs: DataFrame, ranking: Ranking, folds: int = FOLDS) -> DataFrame:
