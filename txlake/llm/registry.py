@@ -12,6 +12,7 @@ from txlake.llm import chat_formatting, token_store
 from txlake.llm.contamination import leaks
 from txlake.llm.html_extraction import extract_pages
 from txlake.llm.line_dedup import dedup_lines
+from txlake.llm.merkle_manifest import audit, build_manifest
 from txlake.llm.near_duplicates import near_duplicates
 from txlake.llm.packing import pack_documents
 from txlake.llm.pairwise_quality import score_quality, train_ranking
@@ -123,6 +124,11 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op13_merkle_manifest")
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(build_manifest(table(spark, sf_dir, "documents")))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
@@ -157,6 +163,80 @@ LLM_ORACLES: dict[str, str] = {
             cast(formatted_chars as bigint) as formatted_chars
         from talks
     """,
+    # crc32 byte by byte, and the trees level by level; lists are cut around a node's place.
+    "op13_merkle_manifest": f"""
+        with recursive docs as (
+            select row_number() over () as r, doc_id, lang, source, n_chars, text,
+                list_reduce(list_concat([4294967295::bigint],
+                    list_transform(string_split(cast(doc_id as varchar), ''),
+                        lambda c: cast(ascii(c) as bigint))),
+                    lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                        lambda x, k: xor(x >> 1, (x & 1) * 3988292384))) as crc
+            from documents
+        ), texts as (
+            select *, false as tampered, text as held from docs
+            union all
+            select *, true, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz') from docs where xor(crc, 4294967295) % 3 = 0
+        ), digests as (
+            select r, doc_id, lang, tampered, sha256({" || ".join(
+                f"coalesce(strlen(cast({c} as varchar)) || ':' || {c}, '-')"
+                for c in ("doc_id", "source", "lang", "n_chars", "held"))}) as leaf
+            from texts
+        ), leaves as (
+            select d.r, d.doc_id, d.leaf, coalesce(t.leaf, d.leaf) as changed,
+                dense_rank() over (order by d.lang nulls first) - 1 as tree,
+                row_number() over (partition by d.lang
+                    order by d.doc_id nulls first, d.leaf) - 1 as idx,
+                count(*) over (partition by d.lang) as n
+            from digests d left join digests t on t.r = d.r and t.tampered
+            where not d.tampered
+        ), nodes as (
+            select 0 as level, tree, idx, leaf as digest, n from leaves
+            union all
+            select level + 1, tree, idx // 8, sha256(string_agg(digest, '' order by idx)),
+                (n + 7) // 8
+            from nodes where n > 1 group by level, tree, idx // 8, n
+        ), runs as (
+            select level, tree, idx // 8 as run, list(digest order by idx) as held
+            from nodes where n > 1 group by all
+        ), subroots as (
+            select tree, digest, count(*) over () as n from nodes where n = 1
+        ), top as (
+            select 0 as level, tree as idx, digest, n from subroots
+            union all
+            select level + 1, idx // 8, sha256(string_agg(digest, '' order by idx)),
+                (n + 7) // 8
+            from top where n > 1 group by level, idx // 8, n
+        ), top_runs as (
+            select level, idx // 8 as run, list(digest order by idx) as held
+            from top where n > 1 group by all
+        ), walk as (
+            select r, 0 as level, tree, idx, n, changed as mine, '' as proof from leaves
+            union all
+            select r, w.level + 1, w.tree, idx // 8, (n + 7) // 8,
+                sha256(array_to_string(list_concat(held[:idx % 8], [mine], held[idx % 8 + 2:]), '')),
+                proof || array_to_string(list_concat(held[:idx % 8], held[idx % 8 + 2:]), '')
+            from walk w join runs u
+                on u.level = w.level and u.tree = w.tree and u.run = w.idx // 8
+            where n > 1
+        ), walked as (
+            select w.r, 0 as level, w.tree as idx, s.n, w.mine, w.proof
+            from walk w join subroots s using (tree) where w.n = 1
+        ), climb as (
+            select * from walked
+            union all
+            select r, c.level + 1, idx // 8, (n + 7) // 8,
+                sha256(array_to_string(list_concat(held[:idx % 8], [mine], held[idx % 8 + 2:]), '')),
+                proof || array_to_string(list_concat(held[:idx % 8], held[idx % 8 + 2:]), '')
+            from climb c join top_runs u on u.level = c.level and u.run = c.idx // 8
+            where n > 1
+        )
+        select l.doc_id, l.leaf, s.digest as subroot, t.digest as root,
+            sha256(c.proof) as proof_sha256, c.mine as folded_root, c.mine = t.digest as verified
+        from leaves l join climb c on c.r = l.r and c.n = 1
+            join subroots s on s.tree = l.tree join top t on t.n = 1
+    """,
 }
 
 if corpus_pipeline.ORACLE_SQL is not None:
