@@ -17,6 +17,7 @@ from txlake.llm.near_duplicates import near_duplicates
 from txlake.llm.packing import pack_documents
 from txlake.llm.pairwise_quality import score_quality, train_ranking
 from txlake.llm.quality_rules import quality_rules
+from txlake.llm.periodic_runs import periodic_runs
 from txlake.llm.substring_dedup import remove_repeats
 from txlake.llm.working import ship_package, stored
 
@@ -124,6 +125,21 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op11_periodic_runs")
+def repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(table(spark, sf_dir, "documents"), trial=True, digests=True)
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.col("runs").alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
 @query("op13_merkle_manifest")
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(build_manifest(table(spark, sf_dir, "documents")))
