@@ -18,6 +18,7 @@ from txlake.llm.packing import pack_documents
 from txlake.llm.pairwise_quality import score_quality, train_ranking
 from txlake.llm.quality_rules import quality_rules
 from txlake.llm.periodic_runs import periodic_runs
+from txlake.llm.personal_data import find_personal_data, labelled_table, train_tagger
 from txlake.llm.substring_dedup import remove_repeats
 from txlake.llm.working import ship_package, stored
 
@@ -140,6 +141,12 @@ def repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagger = train_tagger(labelled_table(spark))
+    return find_personal_data(table(spark, sf_dir, "documents"), tagger)
+
+
 @query("op13_merkle_manifest")
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(build_manifest(table(spark, sf_dir, "documents")))
