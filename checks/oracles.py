@@ -76,6 +76,16 @@ counts as (
 )
 """
 
+_DAY = f"""(((coalesce({_long('"timestamp"')}, 0) % 3) + 3) % 3)"""
+
+# Three days of one source as they are at the end, in place of all raw rows.
+_DAYS = """
+days as (select *, {day} as day from raw),
+kept as ({kept}),
+raw as (select * exclude (day) replace (cast('2024-02-01' as date) + cast({date} as integer) as processing_date)
+  from kept)
+"""
+
 _SUMMARY = """
 totals as (
   select (select count(*) from raw) as total_records,
@@ -117,6 +127,13 @@ dated as (
 """
 
 
+def _days(select: str, kept: str, date: str, *ctes: str) -> str:
+    """``select`` over raw rows that ``kept`` chooses from ``days`` and ``date`` dates."""
+    source = RAW_SQL.replace("raw as (", "source as (")
+    days = _DAYS.format(day=_DAY, kept=kept, date=date).replace("from raw)", "from source)")
+    return ",".join([source, days, *ctes]) + select
+
+
 def _sql(select: str, *ctes: str) -> str:
     return ",".join([RAW_SQL, *ctes]) + select
 
@@ -275,4 +292,116 @@ ORACLES: dict[str, str] = {
         _LATEST,
         _TOP3,
     ),
+    "dq_stored_layers": _sql(
+        """
+        select count(*) as raw_total_records,
+          2 * (select count(*) from curated) as curated_total_records,
+          count(*) - 2 * (select count(*) from curated) as removed_records
+        from raw
+        """,
+        _CURATED,
+    ),
+    "dq_mismatched_outputs": _sql(
+        """
+        select true as avg_path_exists,
+          (select count(distinct coalesce(location_region, '-')) from curated)
+            as avg_record_count,
+          'location_region,avg_risk_score' as avg_expected_columns,
+          false as avg_columns_match,
+          true as avg_is_ordered_desc,
+          true as top3_path_exists,
+          (select count(*) from latest) as top3_record_count,
+          'receiving_address,amount,timestamp' as top3_expected_columns,
+          true as top3_columns_match,
+          (select count(*) from latest) <= 3 as top3_has_expected_limit
+        """,
+        _CURATED,
+        _LATEST,
+    ),
+    "incremental_two_days": _days(
+        """
+        select 'report' as output, key, cast(value as double) as value
+        from (select columns(*)::double, duplicate_records::double as removed_records
+          from summary) unpivot (value for key in (*))
+        union all select 'avg_risk_score', location_region, avg_risk_score from avg_risk
+        union all select 'latest_amount', receiving_address, amount from top3
+        union all select 'latest_time', receiving_address, cast("timestamp" as double) from top3
+        union all select 'rows', 'raw', cast(count(*) as double) from raw
+        union all select 'rows', 'curated', cast(count(*) as double) from curated
+        """,
+        "select * from days where day < 2",
+        "day",
+        _CURATED,
+        _REGIONS,
+        _AVG,
+        _LATEST,
+        _TOP3,
+        _COUNTS,
+        _SUMMARY,
+    ),
+    "keyed_latest_sales": _days(
+        "select * from latest",
+        """select * from days where day <> 1
+           or coalesce(length(receiving_address) + length(amount), 0) % 2 = 0""",
+        "day",
+        _CURATED,
+        _LATEST,
+    ),
+    "empty_load": _sql(
+        """
+        select stage, layer, case when stage = 'first' then 0 else n end as n, columns
+        from (values ('first'), ('later')) as v(stage), (
+          select 'raw' as layer, count(*) as n, 'timestamp,sending_address,receiving_address,'
+            || 'amount,risk_score,transaction_type,location_region,processing_date' as columns
+          from raw
+          union all select 'curated', count(*), 'timestamp,sending_address,receiving_address,'
+            || 'amount,risk_score,transaction_type,location_region,processing_date'
+          from curated
+          union all select 'avg_risk', count(*), 'location_region,avg_risk_score' from avg_risk
+          union all select 'top3', count(*), 'receiving_address,amount,timestamp' from top3
+        )
+        """,
+        _CURATED,
+        _REGIONS,
+        _AVG,
+        _LATEST,
+        _TOP3,
+    ),
+    "narrow_load": _sql(
+        f"""
+        select "timestamp", sending_address, receiving_address, amount, risk_score,
+          transaction_type, nullif(location_region, '') as location_region, processing_date
+        from curated
+        union all
+        select distinct "timestamp", null, receiving_address, amount, null, transaction_type,
+          location_region, date '2024-02-02'
+        from (
+          select {_long('"timestamp"')} as "timestamp", trim(receiving_address)
+              as receiving_address, try_cast(amount as double) as amount,
+            trim(transaction_type) as transaction_type,
+            nullif(trim(location_region), '') as location_region
+          from (select distinct "timestamp", receiving_address, amount, transaction_type,
+            location_region from raw)
+        )
+        """,
+        _CURATED,
+    ),
+    "dq_missing_output": _sql(
+        """
+        select false as landing_file_exists, count(*) as total_records,
+          false as avg_path_exists, 0::bigint as avg_record_count,
+          'location_region,avg_risk_score' as avg_expected_columns,
+          false as avg_columns_match, false as avg_is_ordered_desc,
+          false as top3_path_exists, 0::bigint as top3_record_count,
+          'receiving_address,amount,timestamp' as top3_expected_columns,
+          false as top3_columns_match, false as top3_has_expected_limit
+        from raw
+        """
+    ),
+    "one_version_back": _sql(
+        """
+        select *, 'before' as version from raw
+        union all select *, 'current' from raw where transaction_type = ' sale '
+        """
+    ),
 }

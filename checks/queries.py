@@ -7,6 +7,7 @@ depend on the session's time zone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,12 @@ from txlake.functions import (
     epoch_to_timestamp,
     lenient_date,
     lenient_double,
+    is_category,
     lenient_long,
     valid_region,
 )
 from txlake.operators import (
+    SALE,
     avg_by_group,
     avg_risk_score_by_region,
     count_copies,
@@ -28,6 +31,7 @@ from txlake.operators import (
     exact_dedup,
     invalid_counts,
     latest_sales,
+    layer_totals,
     distinct_totals,
     normalize_columns,
     output_checks,
@@ -37,18 +41,24 @@ from txlake.operators import (
     trim_columns,
     with_conformity,
 )
-from txlake.plans import load_raw, run_curate, run_landing, run_pipeline
+from txlake.plans import load_raw, run_curate, run_landing, run_pipeline, run_quality
 from txlake.plans.jobs import read_curated, read_raw
+from txlake.plans.state import update_latest_sales
 from txlake.sources import (
     Layout,
+    VersionError,
+    drop_partitions,
     land_snapshot,
     overwrite_table,
+    publish_table,
     read_csv_strings,
     read_table,
     write_csv_strings,
     write_partitions,
 )
 
+THREE_DATES = (RUN_DATE, NEXT_DATE, "2024-02-03")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -205,7 +215,7 @@ def valid_region_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sale_filter")
 def sale_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = transactions_raw(spark, sf_dir).transform(trim_columns)
-    return rows.filter(F.col("transaction_type") == "sale")
+    return rows.filter(is_category("transaction_type", SALE))
 
 
 # Aggregation, window, top-k
@@ -270,6 +280,18 @@ def dq_layer_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_totals(raw)
 
 
+@query("dq_stored_layers")
+def dq_stored_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw against a stored curated table that still has a date which raw lost."""
+    layout = Layout(scratch_dir(spark))
+    write_partitions(
+        two_dates(transactions_raw(spark, sf_dir)), layout.raw, ["processing_date"]
+    )
+    run_curate(spark, layout)
+    drop_partitions(spark, layout.raw, "processing_date", [NEXT_DATE])
+    return layer_totals(read_raw(spark, layout), read_curated(spark, layout))
+
+
 @query("dq_output_checks")
 def dq_output_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = transactions_raw(spark, sf_dir).transform(curate)
@@ -280,6 +302,17 @@ def dq_output_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select(*flat_outputs(""))
 
 
+@query("dq_mismatched_outputs")
+def dq_mismatched_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs that are not as expected: a renamed column, and more rows than there may be."""
+    curated = transactions_raw(spark, sf_dir).transform(curate)
+    checked = output_checks(
+        curated.transform(avg_by_group, "location_region", "risk_score", "mean"),
+        curated.transform(latest_sales),
+    )
+    return checked.select(*flat_outputs(""))
+
+
 def flat_outputs(prefix: str) -> list[Column]:
     avg, top3 = (
         f"{prefix}avg_risk_score_by_region",
@@ -321,6 +354,130 @@ def curate_job_two_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, layout).transform(epoch_seconds)
 
 
+def _days(raw: DataFrame) -> list[DataFrame]:
+    """Three days of one source: every third second each."""
+    day = F.pmod(F.coalesce(F.unix_seconds(epoch_to_timestamp(lenient_long("timestamp"))), F.lit(0)), 3)
+    return [raw.filter(day == k) for k in range(3)]
+
+
+def _run_day(
+    spark: SparkSession, scratch: str, name: str, rows: DataFrame, date: str, **options: bool
+) -> Layout:
+    path = f"{scratch}/source-{name}"
+    write_csv_strings(source_frame(rows), path)
+    return run_pipeline(spark, path, f"{scratch}/lake", date, **options)
+
+
+@query("incremental_two_days")
+def incremental_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report and both outputs after day 1, day 2 and day 1 again, with other rows."""
+    scratch = scratch_dir(spark)
+    one, two, _ = _days(transactions_raw(spark, sf_dir))
+    _run_day(spark, scratch, "1", two.unionByName(one), RUN_DATE)
+    _run_day(spark, scratch, "2", two, NEXT_DATE)
+    layout = _run_day(spark, scratch, "3", one, RUN_DATE)
+    raw = spark.read.json(layout.quality_report).select("raw.*", "curated.removed_records")
+    names = raw.columns
+    return (
+        raw.select(F.explode(F.map_from_arrays(
+            F.array(*[F.lit(n) for n in names]), F.array(*[F.col(n).cast("double") for n in names])
+        )).alias("key", "value"))
+        .select(F.lit("report").alias("output"), "key", "value")
+        .union(_outputs(spark, layout))
+    )
+
+
+@query("keyed_latest_sales")
+def keyed_latest_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest sale of each address after three days and a late correction of the second.
+
+    The correction loses every other row, among them latest sales.
+    """
+    layout = Layout(scratch_dir(spark))
+    days = _days(transactions_raw(spark, sf_dir))
+    loads = [*zip(THREE_DATES, days, strict=True), (THREE_DATES[1], _corrected(days[1]))]
+    for date, rows in loads:
+        write_partitions(
+            rows.withColumn("processing_date", F.lit(date)), layout.raw, ["processing_date"]
+        )
+        run_curate(spark, layout, [date])
+        latest = update_latest_sales(spark, layout)
+    return latest.drop("processing_date").transform(epoch_seconds)
+
+
+def _corrected(rows: DataFrame) -> DataFrame:
+    return rows.filter(
+        F.coalesce(F.length("receiving_address") + F.length("amount"), F.lit(0)) % 2 == 0
+    )
+
+
+@query("empty_load")
+def empty_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source with a header and no rows, as the first load, on a filled day, on another."""
+    scratch = scratch_dir(spark)
+    rows = transactions_raw(spark, sf_dir)
+    layout = _run_day(spark, scratch, "0", rows.limit(0), RUN_DATE)
+    first = _sizes(spark, layout, "first")
+    _run_day(spark, scratch, "1", rows, RUN_DATE)
+    for name, date in (("2", RUN_DATE), ("3", NEXT_DATE)):
+        _run_day(spark, scratch, name, rows.limit(0), date)
+    return first.union(_sizes(spark, layout, "later"))
+
+
+def _sizes(spark: SparkSession, layout: Layout, when: str) -> DataFrame:
+    """Rows and columns of the layers, as they are now."""
+    tables = {
+        "raw": read_raw(spark, layout),
+        "curated": read_curated(spark, layout),
+        "avg_risk": read_table(spark, layout.avg_risk_score_by_region),
+        "top3": read_table(spark, layout.top3_receiving_address),
+    }
+    sizes = [(when, name, df.count(), ",".join(df.columns)) for name, df in tables.items()]
+    return spark.createDataFrame(sizes, "stage string, layer string, n bigint, columns string")
+
+
+@query("narrow_load")
+def narrow_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second day whose file lacks two columns: they are NULL in raw and curated."""
+    scratch = scratch_dir(spark)
+    rows = transactions_raw(spark, sf_dir)
+    layout = _run_day(spark, scratch, "1", rows, RUN_DATE)
+    path = f"{scratch}/narrow"
+    write_csv_strings(source_frame(rows).drop("Sending Address", "Risk Score"), path)
+    run_landing(spark, path, layout, NEXT_DATE)
+    load_raw(spark, layout, NEXT_DATE)
+    run_curate(spark, layout, [NEXT_DATE])
+    return read_curated(spark, layout).transform(epoch_seconds)
+
+
+@query("dq_missing_output")
+def dq_missing_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a lake whose outputs were never written: told, not failed."""
+    layout = Layout(scratch_dir(spark))
+    write_partitions(transactions_raw(spark, sf_dir), layout.raw, ["processing_date"])
+    run_curate(spark, layout)
+    run_quality(spark, layout, RUN_DATE)
+    report = spark.read.json(layout.quality_report)
+    return report.select(
+        F.col("landing.file_exists").alias("landing_file_exists"),
+        F.col("raw.total_records").alias("total_records"),
+        *flat_outputs("analytics."),
+    )
+
+
+@query("one_version_back")
+def one_version_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows, then only the sales, then a version that fails its check."""
+    path = f"{scratch_dir(spark)}/table"
+    raw = transactions_raw(spark, sf_dir)
+    publish_table(raw, path)
+    publish_table(raw.filter(F.col("transaction_type") == " sale "), path)
+    with suppress(VersionError):
+        publish_table(raw.limit(0), path, check=lambda written: not written.isEmpty())
+    before = read_table(spark, path, back=1).withColumn("version", F.lit("before"))
+    return read_table(spark, path).withColumn("version", F.lit("current")).union(before)
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> Layout:
     scratch = scratch_dir(spark)
     return run_pipeline(spark, source_csv(spark, sf_dir, scratch), scratch, RUN_DATE)
@@ -345,8 +502,10 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline_end_to_end")
 def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both analytic tables and the row counts of the layers after a whole run."""
-    layout = _pipeline(spark, sf_dir)
+    return _outputs(spark, _pipeline(spark, sf_dir))
+
 
+def _outputs(spark: SparkSession, layout: Layout) -> DataFrame:
     def rows(df: DataFrame, output: str, key: Column, value: Column) -> DataFrame:
         return df.select(
             F.lit(output).alias("output"), key.alias("key"), value.cast("double").alias("value")

@@ -16,6 +16,13 @@ WRITERS = {
     "full_overwrite",
     "raw_load",
     "curate_job_two_dates",
+    "dq_missing_output",
+    "dq_stored_layers",
+    "empty_load",
+    "incremental_two_days",
+    "keyed_latest_sales",
+    "narrow_load",
+    "one_version_back",
 }
 
 

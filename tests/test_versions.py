@@ -1,0 +1,130 @@
+"""Tables by version, and rows held against a stored schema."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from txlake.sources import (
+    SchemaDriftError,
+    VersionError,
+    publish_table,
+    read_partitions,
+    read_table,
+    stored_schema,
+    versions,
+    write_partitions,
+)
+from txlake.sources.files import read_text, replace_text
+
+
+def ids(df):
+    return sorted(r[0] for r in df.collect())
+
+
+def test_failed_write_leaves_the_old_rows(spark, base):
+    path = f"{base}/t"
+    publish_table(spark.range(3), path)
+    broken = spark.range(8, numPartitions=4).select(
+        F.when(F.col("id") == 5, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id")
+    )
+    with pytest.raises(Exception, match="lost"):
+        publish_table(broken, path)
+    assert ids(read_table(spark, path)) == [0, 1, 2]
+    with pytest.raises(VersionError, match="check"):
+        publish_table(spark.range(9), path, check=lambda df: df.count() < 5)
+    assert ids(read_table(spark, path)) == [0, 1, 2]
+    # What failed left directories; they are no versions, and go with the next publication.
+    held = {n.name for n in Path(path).iterdir() if n.name.startswith("v")}
+    assert len(held) == 3 and versions(spark, path) == [min(held)]
+    publish_table(spark.range(1), path)
+    assert ids(read_table(spark, path)) == [0]
+    assert ids(read_table(spark, path, back=1)) == [0, 1, 2]
+    held = {n.name for n in Path(path).iterdir() if n.name.startswith("v")}
+    assert sorted(held) == versions(spark, path) == ["v000000001", "v000000004"]
+
+
+def test_readers_of_an_earlier_version_can_finish(spark, base):
+    path = f"{base}/t"
+    publish_table(spark.range(2), path)
+    reading = read_table(spark, path)
+    publish_table(spark.range(5), path)
+    assert ids(reading) == [0, 1] and ids(read_table(spark, path)) == [0, 1, 2, 3, 4]
+    assert ids(read_table(spark, path, back=1)) == [0, 1]
+    with pytest.raises(VersionError):
+        read_table(spark, path, back=2)
+
+
+def test_some_versions_are_kept(spark, base):
+    path = f"{base}/t"
+    for n in range(5):
+        publish_table(spark.range(n), path, kept=2)
+    assert len(versions(spark, path)) == 2
+    assert ids(read_table(spark, path, back=1)) == [0, 1, 2]
+
+
+def test_columns_may_change_between_versions(spark, base):
+    path = f"{base}/t"
+    publish_table(spark.range(2), path)
+    publish_table(spark.range(2).selectExpr("id as other"), path)
+    assert read_table(spark, path).columns == ["other"]
+    assert read_table(spark, path, back=1).columns == ["id"]
+
+
+def test_plain_tables_have_no_versions(spark, base):
+    spark.range(2).write.parquet(f"{base}/t")
+    assert ids(read_table(spark, f"{base}/t")) == [0, 1] and versions(spark, f"{base}/t") == []
+    with pytest.raises(VersionError):
+        read_table(spark, f"{base}/t", back=1)
+
+
+def test_small_files(spark, base):
+    assert read_text(spark, f"{base}/f") is None
+    for text in ("é\n", "second"):
+        replace_text(spark, f"{base}/f", text)
+        assert read_text(spark, f"{base}/f") == text
+    assert [p.name for p in Path(base).iterdir() if not p.name.startswith(".")] == ["f"]
+
+
+KEYS = ["day"]
+SCHEMA = "a string, n bigint, day string"
+
+
+def test_schema_survives_without_rows(spark, base):
+    path = f"{base}/t"
+    write_partitions(spark.createDataFrame([], SCHEMA), path, KEYS)
+    assert stored_schema(spark, path).simpleString() == "struct<a:string,n:bigint,day:string>"
+    assert dict(read_table(spark, path).dtypes) == {"a": "string", "n": "bigint", "day": "string"}
+    assert read_table(spark, path).count() == 0
+    with pytest.raises(SchemaDriftError, match="n"):
+        write_partitions(spark.createDataFrame([("x", "1", "d")], "a string, n string, day string"), path, KEYS)
+
+
+def test_missing_columns_become_null(spark, base):
+    path = f"{base}/t"
+    write_partitions(spark.createDataFrame([("x", 1, "1")], SCHEMA), path, KEYS)
+    write_partitions(spark.createDataFrame([("2", "y")], "day string, a string"), path, KEYS)
+    assert sorted(map(tuple, read_table(spark, path).collect())) == [("x", 1, "1"), ("y", None, "2")]
+    with pytest.raises(SchemaDriftError, match="extra"):
+        write_partitions(spark.createDataFrame([("x", 1, "1", 2)], f"{SCHEMA}, extra int"), path, KEYS)
+    with pytest.raises(SchemaDriftError, match="day"):
+        write_partitions(spark.createDataFrame([("x", 1)], "a string, n bigint"), path, KEYS)
+
+
+def test_tables_written_before_schemas_were_stored(spark, base):
+    path = f"{base}/t"
+    spark.createDataFrame([("x", 1, "1")], SCHEMA).write.partitionBy("day").parquet(path)
+    write_partitions(spark.createDataFrame([("y", "2")], "a string, day string"), path, KEYS)
+    assert read_table(spark, path).count() == 2
+    assert stored_schema(spark, path) is not None
+
+
+def test_reading_some_partitions(spark, base):
+    path = f"{base}/t"
+    write_partitions(spark.createDataFrame([("x", 1, "1"), ("y", 2, "2"), ("z", 3, None)], SCHEMA), path, KEYS)
+    Path(path, "day=2", "part-broken.parquet").write_text("no table")
+    found = read_partitions(spark, path, "day", ["1", None, "absent"])
+    assert sorted(map(repr, found.collect())) == ["Row(a='x', n=1, day='1')", "Row(a='z', n=3, day=None)"]
+    assert read_partitions(spark, path, "day", []).columns == ["a", "n", "day"]

@@ -6,6 +6,7 @@ import argparse
 from datetime import UTC, datetime
 
 from txlake.plans import (
+    curate_new,
     get_spark,
     load_raw,
     run_avg_risk,
@@ -31,6 +32,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         help="yyyy-MM-dd, the UTC date of today by default",
     )
     parser.add_argument("--dates", nargs="+", help="curate only these dates")
+    parser.add_argument("--rebuild", action="store_true", help="curate all dates again")
     parser.add_argument("--format", default="parquet", help="table format, e.g. delta")
     args = parser.parse_args(argv)
     if args.stage in ("landing", "pipeline") and not args.source:
@@ -49,7 +51,10 @@ def main(argv: list[str] | None = None) -> None:
             case "raw":
                 load_raw(spark, layout, args.run_date, args.format)
             case "curated":
-                run_curate(spark, layout, args.dates, args.format)
+                if args.dates or args.rebuild:
+                    run_curate(spark, layout, None if args.rebuild else args.dates, args.format)
+                else:
+                    curate_new(spark, layout, args.run_date, args.format)
             case "avg-risk":
                 run_avg_risk(spark, layout, args.format, preview=True)
             case "top3":
@@ -65,6 +70,7 @@ def main(argv: list[str] | None = None) -> None:
                     args.format,
                     args.dates,
                     preview=True,
+                    rebuild=args.rebuild,
                 )
     finally:
         spark.stop()

@@ -6,6 +6,7 @@ from txlake.functions.predicates import (
     invalid_double,
     invalid_long,
     invalid_region,
+    is_category,
     valid_address,
     valid_region,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "invalid_double",
     "invalid_long",
     "invalid_region",
+    "is_category",
     "lenient_date",
     "lenient_double",
     "lenient_long",

@@ -22,6 +22,10 @@ def valid_region(c: ColumnOrName) -> Column:
     return region.isNotNull() & (F.trim(region) != "") & (region != UNKNOWN_REGION)
 
 
+def is_category(c: ColumnOrName, category: str) -> Column:
+    return column(c) == category
+
+
 def valid_address(c: ColumnOrName) -> Column:
     address = column(c)
     return address.isNotNull() & (address != "")

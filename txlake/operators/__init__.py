@@ -1,11 +1,17 @@
 """DataFrame to DataFrame operators, lazy and usable with ``DataFrame.transform``."""
 
 from txlake.operators.analytics import (
+    SALE,
     avg_by_group,
+    avg_risk_from_sums,
     avg_risk_score_by_region,
+    daily_latest_sales,
     latest_per_key,
     latest_sales,
+    merge_latest_sales,
+    region_sums,
     top3_by_latest_sale_amount,
+    top_sales,
     top_k,
     valid_sales,
 )
@@ -23,9 +29,15 @@ from txlake.operators.quality import (
 )
 
 __all__ = [
+    "SALE",
     "ColumnCollisionError",
     "avg_by_group",
+    "avg_risk_from_sums",
     "avg_risk_score_by_region",
+    "daily_latest_sales",
+    "merge_latest_sales",
+    "region_sums",
+    "top_sales",
     "build_report",
     "count_copies",
     "curate",

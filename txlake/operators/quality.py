@@ -41,6 +41,13 @@ TOTAL = "total_records"
 DUPLICATES = "duplicate_records"
 ERRORS = "total_error_records"
 CONFORMITY = "conformity_percentage"
+CHECK_FIELDS = (
+    "invalid_amount_records",
+    "invalid_risk_score_records",
+    "invalid_timestamp_records",
+    "invalid_location_region_records",
+    "invalid_receiving_address_records",
+)
 
 
 def raw_checks(
@@ -51,13 +58,14 @@ def raw_checks(
     address: str = RECEIVING_ADDRESS,
 ) -> dict[str, Column]:
     """Report field -> predicate that is true for a raw row failing the check."""
-    return {
-        "invalid_amount_records": invalid_double(amount),
-        "invalid_risk_score_records": invalid_double(risk_score),
-        "invalid_timestamp_records": invalid_long(timestamp),
-        "invalid_location_region_records": invalid_region(region),
-        "invalid_receiving_address_records": invalid_address(address),
-    }
+    failed = (
+        invalid_double(amount),
+        invalid_double(risk_score),
+        invalid_long(timestamp),
+        invalid_region(region),
+        invalid_address(address),
+    )
+    return dict(zip(CHECK_FIELDS, failed, strict=True))
 
 
 def invalid_counts(df: DataFrame, checks: Mapping[str, Column] | None = None) -> DataFrame:
@@ -72,14 +80,19 @@ def count_copies(df: DataFrame, name: str = COPIES) -> DataFrame:
 
 
 def profile_columns(
-    checks: Mapping[str, Column] | None = None, copies: str = COPIES
+    checks: Mapping[str, Column] | None = None,
+    copies: str = COPIES,
+    only: Column | None = None,
 ) -> list[Column]:
-    """Aggregates over ``count_copies`` rows: total, duplicates and each failed check."""
+    """Aggregates over ``count_copies`` rows: total, duplicates and each failed check.
+
+    ``only`` limits them to some rows. Each is a sum, so those of dates can be added up.
+    """
     n = column(copies)
     checks = checks or raw_checks()
 
     def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0))
+        return F.coalesce(F.sum(c if only is None else F.when(only, c)), F.lit(0))
 
     return [
         total(n).alias(TOTAL),
@@ -140,15 +153,23 @@ def layer_totals(raw: DataFrame, curated: DataFrame) -> DataFrame:
 
 
 def output_checks(
-    avg_risk: DataFrame,
-    top3: DataFrame,
+    avg_risk: DataFrame | None,
+    top3: DataFrame | None,
     avg_risk_exists: bool = True,
     top3_exists: bool = True,
 ) -> DataFrame:
     """One row with one struct per analytic table: is it there, and as it should be?
 
-    ``is_ordered_desc`` states how the table is written; order is not kept by a table.
+    A table that is not there is None: it does not exist, has no records, and nothing about
+    it is as expected. ``is_ordered_desc`` states how the table is written; order is not
+    kept by a table.
     """
+    nothing = SparkSession.active().range(0).select()
+    avg_risk_exists = avg_risk_exists and avg_risk is not None
+    top3_exists = top3_exists and top3 is not None
+    ordered, limited = avg_risk is not None, top3 is not None
+    avg_risk = nothing if avg_risk is None else avg_risk
+    top3 = nothing if top3 is None else top3
     records = F.count(F.lit(1))
 
     def columns_match(df: DataFrame, expected: Sequence[str]) -> Column:
@@ -160,7 +181,7 @@ def output_checks(
             records.alias("record_count"),
             F.lit(list(AVG_RISK_COLUMNS)).alias("expected_columns"),
             columns_match(avg_risk, AVG_RISK_COLUMNS),
-            F.lit(True).alias("is_ordered_desc"),
+            F.lit(ordered).alias("is_ordered_desc"),
         ).alias("avg_risk_score_by_region")
     )
     top3_checks = top3.agg(
@@ -169,7 +190,7 @@ def output_checks(
             records.alias("record_count"),
             F.lit(list(TOP3_COLUMNS)).alias("expected_columns"),
             columns_match(top3, TOP3_COLUMNS),
-            (records <= TOP).alias("has_expected_limit"),
+            (F.lit(limited) & (records <= TOP)).alias("has_expected_limit"),
         ).alias("top3_receiving_address_by_latest_sale_amount")
     )
     return one_row(avg_checks, top3_checks)
@@ -182,15 +203,22 @@ def build_report(
     outputs: DataFrame,
     landing_path: str,
     landing_exists: bool,
+    known_curated: DataFrame | None = None,
 ) -> DataFrame:
     """The quality report as one nested row.
 
-    ``profile`` comes from ``profile_raw`` and ``outputs`` from ``output_checks``.
+    ``profile`` comes from ``profile_raw`` and ``outputs`` from ``output_checks``. Rows of
+    ``curated`` are counted; ``known_curated`` (``curated_records``) are counts of others.
     """
     raw = with_conformity(profile)
+    counted = count_rows(curated, "curated_total")
+    if known_curated is not None:
+        counted = counted.union(known_curated.select("curated_records")).agg(
+            F.sum("curated_total").alias("curated_total")
+        )
     parts = one_row(
         raw.select(F.struct(*[quoted(c) for c in raw.columns]).alias("raw")),
-        count_rows(curated, "curated_total"),
+        counted,
         outputs.select(F.struct(*[quoted(c) for c in outputs.columns]).alias("analytics")),
     )
     curated_total = F.col("curated_total")

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.functions.casts import lenient_date
 from txlake.functions.names import PROCESSING_DATE
-from txlake.operators.analytics import avg_risk_score_by_region, top3_by_latest_sale_amount
+from txlake.operators.analytics import avg_risk_from_sums, top_sales
 from txlake.operators.curate import trim_columns, type_columns
 from txlake.operators.ingest import checked_date, normalize_columns, stamp_run_date
 from txlake.operators.quality import (
+    AVG_RISK_COLUMNS,
     COPIES,
+    TOP3_COLUMNS,
     build_report,
     count_copies,
     output_checks,
@@ -21,29 +23,50 @@ from txlake.operators.quality import (
     profile_frame,
     profile_raw,
 )
+from txlake.plans.state import (
+    CURATED_RECORDS,
+    PROFILE_FIELDS,
+    Dates,
+    added_profiles,
+    forget_curated,
+    forget_raw,
+    profiled_dates,
+    read_profiles,
+    update_latest_sales,
+    update_region_sums,
+    write_profiles,
+)
 from txlake.sources.csv_files import land_snapshot, read_csv_strings
 from txlake.sources.layout import Layout
 from txlake.sources.tables import (
-    overwrite_table,
+    partition_values,
+    read_partitions,
     read_table,
     rebalance,
     table_exists,
     write_json,
     write_partitions,
 )
+from txlake.sources.versions import publish_table
+
+#: Dates that one job curates, at most.
+DATES_AT_ONCE = 8
 
 
 def read_raw(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> DataFrame:
     return read_table(spark, layout.raw, fmt, {PROCESSING_DATE: "string"})
 
 
-def _read_raw_rows(spark: SparkSession, layout: Layout, fmt: str) -> DataFrame:
-    """Raw rows with the run date in its stored type.
+def _raw_rows(
+    spark: SparkSession, layout: Layout, dates: Dates, fmt: str
+) -> DataFrame:
+    """Raw rows of some dates, with the run date as a date; no other date is opened.
 
-    For grouping whole rows, where text would be formatted row by row and widen the key.
-    Run dates are all written in one format, so equal dates are equal texts.
+    For grouping whole rows, where text would widen the key. Run dates are all written in
+    one format, so equal dates are equal texts.
     """
-    return read_table(spark, layout.raw, fmt)
+    rows = read_partitions(spark, layout.raw, PROCESSING_DATE, dates, fmt)
+    return rows.withColumn(PROCESSING_DATE, lenient_date(PROCESSING_DATE))
 
 
 def read_curated(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> DataFrame:
@@ -58,12 +81,17 @@ def run_landing(spark: SparkSession, source: str, layout: Layout, run_date: str)
 def load_raw(
     spark: SparkSession, layout: Layout, run_date: str, fmt: str = "parquet"
 ) -> None:
-    """Landing directory -> the run date's partition of the raw table."""
+    """Landing directory -> the run date's partition of the raw table.
+
+    A landing without rows replaces nothing: what the date had stays, as with any dynamic
+    overwrite. Columns that the landing lacks become NULL.
+    """
     raw = (
         read_csv_strings(spark, layout.landing(run_date))
         .transform(normalize_columns)
         .transform(stamp_run_date, run_date)
     )
+    forget_raw(spark, layout, [checked_date(run_date)])
     write_partitions(raw, layout.raw, [PROCESSING_DATE], fmt)
 
 
@@ -80,40 +108,71 @@ def run_curate(
     because rows of different dates are never duplicates of each other.
 
     Deduplicating whole rows is the most expensive step of the pipeline, and the quality
-    profile needs the same grouping. So the profile is observed on the deduplicated rows
-    while they are written. The observation sits after the last shuffle, where Spark
-    counts each task once even if it is retried.
+    profile needs the same grouping. So the profile of each date is observed on the
+    deduplicated rows while they are written, and stored. The observation sits after the
+    last shuffle, where Spark counts each task once even if it is retried. Some dates at a
+    time are curated together, which bounds what is observed at once.
     """
-    raw = _read_raw_rows(spark, layout, fmt)
+    held = partition_values(spark, layout.raw, PROCESSING_DATE, fmt)
+    wanted: list[str | None] = held
     if dates is not None:
         wanted = sorted({checked_date(d) for d in dates})
-        stored = lenient_date(PROCESSING_DATE)
-        raw = raw.filter(stored.isin(*[F.lit(d).cast("date") for d in wanted]))
-        present = {str(r[0]) for r in raw.select(stored).distinct().collect()}
-        if missing := sorted(set(wanted) - present):
+        if missing := sorted(set(wanted) - set(held)):
             raise ValueError(f"the raw table has no rows of {missing}")
+    chunks = [wanted[k : k + DATES_AT_ONCE] for k in range(0, len(wanted), DATES_AT_ONCE)]
+    profiles = {}
+    for chunk in chunks or [[]]:
+        profiles |= _curate_dates(spark, layout, chunk, fmt)
+    return added_profiles(profiles.values())
 
-    distinct = count_copies(raw)
-    if dates is None or len(dates) > 1:
-        distinct = rebalance(distinct, PROCESSING_DATE)
 
+def _curate_dates(
+    spark: SparkSession, layout: Layout, dates: Dates, fmt: str
+) -> dict[str | None, dict[str, int]]:
+    """Curate some dates in one job; the profile of each, which is stored as well."""
+    distinct = count_copies(_raw_rows(spark, layout, dates, fmt))
+    if len(dates) > 1:
+        distinct = rebalance(distinct, PROCESSING_DATE)
+    observed = [
+        c.alias(f"{k} {name}")
+        for k, date in enumerate(dates)
+        for own in [F.col(PROCESSING_DATE).eqNullSafe(F.lit(date).cast("date"))]
+        for c, name in zip(
+            [*profile_columns(only=own), F.count_if(own)], PROFILE_FIELDS, strict=True
+        )
+    ]
     profile = Observation()
-    curated = (
-        distinct.observe(profile, *profile_columns())
-        .drop(COPIES)
-        .transform(type_columns)
-        .transform(trim_columns)
-    )
+    if observed:
+        distinct = distinct.observe(profile, *observed)
+    forget_curated(spark, layout, dates)
+    curated = distinct.drop(COPIES).transform(type_columns).transform(trim_columns)
     write_partitions(curated, layout.curated, [PROCESSING_DATE], fmt)
-    return profile.get
+    if not observed:
+        return {}
+    found = profile.get
+    profiles = {
+        date: {name: found.get(f"{k} {name}") or 0 for name in PROFILE_FIELDS}
+        for k, date in enumerate(dates)
+    }
+    write_profiles(spark, layout, profiles)
+    return profiles
+
+
+def curate_new(
+    spark: SparkSession, layout: Layout, run_date: str, fmt: str = "parquet"
+) -> dict[str, int]:
+    """Curate the run date, and dates whose raw rows came since they were last curated."""
+    held = partition_values(spark, layout.raw, PROCESSING_DATE, fmt)
+    done = set(profiled_dates(spark, layout)) - {checked_date(run_date)}
+    return run_curate(spark, layout, [d for d in held if d is not None and d not in done], fmt)
 
 
 def run_avg_risk(
     spark: SparkSession, layout: Layout, fmt: str = "parquet", preview: bool = False
 ) -> None:
-    """Curated table -> mean risk score by region."""
-    result = avg_risk_score_by_region(read_curated(spark, layout, fmt))
-    overwrite_table(result, layout.avg_risk_score_by_region, fmt)
+    """Curated table -> mean risk score by region; reads dates that have no sums yet."""
+    result = avg_risk_from_sums(update_region_sums(spark, layout, fmt))
+    publish_table(result, layout.avg_risk_score_by_region, fmt, _has(AVG_RISK_COLUMNS))
     if preview:
         saved = read_table(spark, layout.avg_risk_score_by_region, fmt)
         saved.orderBy(F.desc("avg_risk_score"), "location_region").show(truncate=False)
@@ -122,14 +181,43 @@ def run_avg_risk(
 def run_top3(
     spark: SparkSession, layout: Layout, fmt: str = "parquet", preview: bool = False
 ) -> None:
-    """Curated table -> top three receivers by the amount of their latest sale."""
-    result = top3_by_latest_sale_amount(read_curated(spark, layout, fmt))
-    overwrite_table(result, layout.top3_receiving_address, fmt)
+    """Curated table -> top three receivers by the amount of their latest sale.
+
+    Reads dates that are not in the latest sales yet, and the latest sales.
+    """
+    latest = update_latest_sales(spark, layout, fmt)
+    result = top_sales(latest).select(*TOP3_COLUMNS)
+    publish_table(result, layout.top3_receiving_address, fmt, _has(TOP3_COLUMNS))
     if preview:
         saved = read_table(spark, layout.top3_receiving_address, fmt)
         saved.orderBy(F.desc("amount"), "receiving_address").show(truncate=False)
 
 
+def _has(columns: Sequence[str]) -> Callable[[DataFrame], bool]:
+    return lambda written: tuple(written.columns) == tuple(columns)
+
+
+def _output(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    return read_table(spark, path, fmt) if table_exists(spark, path) else None
+
+
+def raw_profile(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> DataFrame:
+    """The profile of the whole raw table, from those stored by date.
+
+    Dates without one, whose rows came after they were curated, are profiled here.
+    """
+    done = profiled_dates(spark, layout)
+    held = partition_values(spark, layout.raw, PROCESSING_DATE, fmt)
+    known = read_partitions(
+        spark, layout.raw_profiles, PROCESSING_DATE, [d for d in done if d in held]
+    ) if done else read_profiles(spark, layout)
+    fields = [n for n in PROFILE_FIELDS if n != CURATED_RECORDS]
+    parts = known.select(*fields)
+    if fresh := [d for d in held if d not in done]:
+        parts = parts.union(profile_raw(_raw_rows(spark, layout, fresh, fmt)).select(*fields))
+    return parts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in fields])
+
+
 def run_quality(
     spark: SparkSession,
     layout: Layout,
@@ -140,29 +228,32 @@ def run_quality(
 ) -> None:
     """All layers -> the quality report.
 
-    Pass the ``profile`` that a full ``run_curate`` returned to save a second pass over
-    the raw table; without it the raw table is profiled here.
+    The raw section adds up the profiles that were stored by date, unless a ``profile`` of
+    the whole table is given. Curated rows are known from the profiles, too; only dates
+    without one are counted. Outputs that are not there are reported, not read.
     """
-    raw_profile = (
-        profile_raw(_read_raw_rows(spark, layout, fmt))
-        if profile is None
-        else profile_frame(spark, profile)
-    )
+    total = raw_profile(spark, layout, fmt) if profile is None else profile_frame(spark, profile)
     outputs = output_checks(
-        read_table(spark, layout.avg_risk_score_by_region, fmt),
-        read_table(spark, layout.top3_receiving_address, fmt),
-        table_exists(spark, layout.avg_risk_score_by_region),
-        table_exists(spark, layout.top3_receiving_address),
+        _output(spark, layout.avg_risk_score_by_region, fmt),
+        _output(spark, layout.top3_receiving_address, fmt),
     )
     run_date = checked_date(run_date)
     landing = layout.landing(run_date)
+    curated = partition_values(spark, layout.curated, PROCESSING_DATE, fmt)
+    done = [d for d in profiled_dates(spark, layout) if d in curated]
+    known = read_profiles(spark, layout)
+    if done:
+        known = read_partitions(spark, layout.raw_profiles, PROCESSING_DATE, done)
     report = build_report(
         run_date,
-        raw_profile,
-        read_curated(spark, layout, fmt),
+        total,
+        read_partitions(
+            spark, layout.curated, PROCESSING_DATE, [d for d in curated if d not in done], fmt
+        ),
         outputs,
         landing,
         table_exists(spark, landing),
+        known,
     )
     write_json(report, layout.quality_report)
     if preview:

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from txlake.operators.ingest import checked_date
 from txlake.plans.jobs import (
+    curate_new,
     load_raw,
     run_avg_risk,
     run_curate,
@@ -28,11 +29,13 @@ def run_pipeline(
     fmt: str = "parquet",
     dates: Sequence[str] | None = None,
     preview: bool = False,
+    rebuild: bool = False,
 ) -> Layout:
     """Run every stage for one run date and return where the results are.
 
-    By default all dates of the raw table are curated again. ``dates`` curates only some;
-    the report then profiles the whole raw table in a pass of its own.
+    The run date is curated, and so are dates that were loaded but not curated since; all
+    else comes from what is kept by date and by address, so a day's run reads a day's rows.
+    ``dates`` names the dates to curate instead, and ``rebuild`` curates all.
     """
     run_date = checked_date(run_date)
     if dates is not None and run_date not in {checked_date(d) for d in dates}:
@@ -40,7 +43,10 @@ def run_pipeline(
     layout = Layout(base)
     run_landing(spark, source, layout, run_date)
     load_raw(spark, layout, run_date, fmt)
-    profile = run_curate(spark, layout, dates, fmt)
+    if dates is None and not rebuild:
+        curate_new(spark, layout, run_date, fmt)
+    else:
+        run_curate(spark, layout, None if rebuild else dates, fmt)
 
     # The two tables do not depend on each other: the tasks of one fill the gaps of the other.
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -51,5 +57,5 @@ def run_pipeline(
     for table in tables:
         table.result()
 
-    run_quality(spark, layout, run_date, fmt, None if dates is not None else profile, preview)
+    run_quality(spark, layout, run_date, fmt, preview=preview)
     return layout

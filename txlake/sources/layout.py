@@ -26,6 +26,8 @@ class Layout:
     def curated(self) -> str:
         return self._uri("curated", self.table)
 
+    # The names of the outputs.
+
     @property
     def avg_risk_score_by_region(self) -> str:
         return self._uri("analytics", "avg_risk_score_by_region")
@@ -37,3 +39,21 @@ class Layout:
     @property
     def quality_report(self) -> str:
         return self._uri("quality", f"{self.table}_quality_report")
+
+    # What is kept by date, or by key, so that a day's run reads a day's rows.
+
+    @property
+    def raw_profiles(self) -> str:
+        return self._uri("state", f"{self.table}_raw_profiles")
+
+    @property
+    def region_sums(self) -> str:
+        return self._uri("state", f"{self.table}_region_sums")
+
+    @property
+    def daily_latest_sales(self) -> str:
+        return self._uri("state", f"{self.table}_daily_latest_sales")
+
+    @property
+    def latest_sales(self) -> str:
+        return self._uri("state", f"{self.table}_latest_sales")
