@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from txlake.llm import chat_formatting, packing, quality_rules, substring_dedup, token_store
+from txlake.llm import chat_formatting, line_dedup, packing, quality_rules, substring_dedup, token_store
 from txlake.llm.contamination import drop_leaked, leaks
 from txlake.llm.line_dedup import dedup_lines
 from txlake.llm.line_features import LINE_FEATURES
@@ -320,3 +320,82 @@ def test_threshold_is_over_all_labelled_documents(spark, sample):
     assert scored.count() > 40
     below = scored.filter("predicted = 0").count()
     assert abs(below - scored.filter("quality = 0").count()) <= 1
+
+
+def test_line_dedup_on_hot_keys(spark, monkeypatch):
+    """Lines with three long words in common, and in SimHash classes: never all pairs."""
+    draw = random.Random(9)
+    shared = "extraordinarily internationalization counterrevolutionary"
+    texts = [f"{shared} " + " ".join(draw.choices("abcdefghij", k=8)) + f" {k}" for k in range(2000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    written = []
+    compared = line_dedup.compared
+
+    def counted(pairs, *rest):
+        written.append(pairs.count())
+        return compared(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "compared", counted)
+    assert dedup_lines(docs).count() == 2000
+    print(written)
+    assert 0 < sum(written) < 50_000
+
+
+def test_line_dedup_recall_on_lines_of_the_tables(spark):
+    """Against edit similarity of all pairs that share a word: at least 0.9 are connected."""
+    rows = sorted(
+        r[0]
+        for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+        .select(F.explode(F.split("text", "\n")).alias("line"))
+        .select(line_dedup.normal_form(F.col("line")))
+        .distinct()
+        .collect()
+        if 40 <= len(r[0]) <= 1500
+    )
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    by_word = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("w"))
+    rare = by_word.groupBy("w").agg(F.collect_list("doc_id").alias("ids")).filter("size(ids) between 2 and 80")
+    pairs = (
+        rare.select(F.explode("ids").alias("a"), "ids")
+        .select("a", F.explode("ids").alias("b"))
+        .filter("a < b")
+        .distinct()
+    )
+    texts = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))
+    other = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
+    near = (
+        pairs.join(texts, "a")
+        .join(other, "b")
+        .withColumn("most", F.expr("cast(floor(0.2 * greatest(length(x), length(y)) + 1e-9) as int)"))
+        .filter("abs(length(x) - length(y)) <= most and levenshtein(x, y, most) >= 0")
+        .select("a", "b")
+        .collect()
+    )
+    group = {k: k for k in range(len(rows))}
+
+    def find(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for a, b in near:
+        group[max(find(a), find(b))] = min(find(a), find(b))
+    wanted = {k for k in group if find(k) != k}
+    removed = {r["doc_id"] for r in dedup_lines(docs).filter("n_removed = 1").collect()}
+    print(f"{len(wanted & removed)} of {len(wanted)} near lines of the tables, {len(removed - wanted)} others")
+    assert len(wanted) > 100
+    assert len(wanted & removed) >= 0.9 * len(wanted)
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    names = ["n_lines", "n_removed", "row_number", "lines", "dropped", "kept_0", "order", "label", "line_no"]
+    docs = spark.createDataFrame(
+        [(1, "same words here\nx", *range(9)), (2, "y\nsame words here", *range(10, 19))],
+        "doc_id long, text string, " + ", ".join(f"`{n}` long" for n in names),
+    )
+    found = dedup_lines(docs)
+    assert found.columns == [*docs.columns, "n_lines_", "n_removed_"]
+    assert sorted(map(tuple, found.collect())) == [
+        (1, "same words here\nx", *range(9), 2, 0),
+        (2, "y", *range(10, 19), 2, 1),
+    ]

@@ -9,6 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txlake.sources.files import remove
 from txlake.sources.scratch import scratch_dir
 
 
@@ -40,6 +41,22 @@ def stored_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFram
     return spark.table(table)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete working tables that no later step reads; they must come from ``stored``."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            remove(spark, path)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores behind it as it takes to differ from ``taken``."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
