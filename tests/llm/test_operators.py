@@ -399,3 +399,18 @@ def test_line_dedup_keeps_columns_of_any_name(spark):
         (1, "same words here\nx", *range(9), 2, 0),
         (2, "y", *range(10, 19), 2, 1),
     ]
+
+
+def test_near_duplicates_with_equal_ids_and_different_texts(spark):
+    a, b = ([f"{c}{k}" for k in range(60)] for c in "ab")
+    near_b = ["x", *b[1:]]
+    rows = [(3, " ".join(a)), (3, " ".join(b)), (1, " ".join(a)), (4, " ".join(near_b)), (3, "  ".join(b))]
+    clash = "doc_id long, text string, class_a string, id string"
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(*r, "c", "d") for r in order], clash)
+        found = sorted(map(tuple, near_duplicates(docs).collect()))
+        assert found == [(1, 1, 1, 0), (3, 1, 1, 0), (3, 3, 3, 1), (3, 3, 3, 1), (4, 4, 3, 1)]
+        kept = keep_one(docs)
+        assert kept.columns == docs.columns
+        kept = sorted((r["doc_id"], " ".join(r["text"].split()), r["class_a"], r["id"]) for r in kept.collect())
+        assert kept == [(1, " ".join(a), "c", "d"), (3, " ".join(b), "c", "d")]

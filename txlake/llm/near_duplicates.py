@@ -1,4 +1,4 @@
-"""Similarity join on word shingles with a MinHash LSH forest and exact verification.
+"""Similarity join on word shingles with banded MinHash and exact verification.
 
 1. Texts with the same word sequence are one class; everything below sees one text each.
 2. A signature has ``trees`` prefixes of min-hashes. Texts that agree on a whole prefix in
@@ -16,15 +16,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from txlake.llm.components import components
 from txlake.llm.text import mix, sequence_hashes, shingles_of, text_slices, words_of
-from txlake.llm.working import stored
+from txlake.llm.working import free_name, stored
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -327,20 +330,29 @@ def _verified_links(threshold: float) -> Callable:
 
 
 def verified_links(
-    docs: DataFrame, edges: DataFrame, threshold: float = THRESHOLD
+    docs: DataFrame, nodes: DataFrame, edges: DataFrame, threshold: float = THRESHOLD
 ) -> DataFrame:
     """The links of every text within a component of candidate edges, by exact similarity.
 
-    Rows of one text, from different block pairs, list different links; ``forest`` are links
-    of a spanning forest.
+    ``nodes`` says in which document a text is (``copy_of``) and which it is there (its
+    class). Rows of one text, from different block pairs, list different links; ``forest``
+    are links of a spanning forest.
     """
     groups = components(edges)
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    members = groups.join(sizes, "label").select(F.col("node").alias("doc_id"), "label", "n")
-    texts = (
-        docs.join(members, "doc_id")
-        .groupBy("doc_id", "label", "n")
-        .agg(F.min("text").alias("text"))
+    members = (
+        groups.join(sizes, "label")
+        .join(nodes, "node")
+        .select("node", "label", "n", F.col("copy_of").alias("doc_id"), *_CLASS)
+    )
+    # A document may have several rows, and texts: only the one of the class is meant.
+    held = members.select("doc_id", "node", "label", "n", *[F.col(c).alias(f"of_{c}") for c in _CLASS])
+    texts = with_class(docs.join(held, "doc_id")).filter(
+        reduce(Column.__and__, [F.col(c) == F.col(f"of_{c}") for c in _CLASS])
+    )
+    # Texts of a class have the same words, so any of them does.
+    texts = texts.groupBy(F.col("node").alias("doc_id"), "label", "n").agg(
+        F.min("text").alias("text")
     )
     dealt = block_pairs(shingle_sets(texts), F.col("doc_id"), F.col("n"), VERIFY_BLOCK)
     return (
@@ -348,9 +360,87 @@ def verified_links(
         .repartition("label", "low", "high")
         .sortWithinPartitions("label", "low", "high")
         .mapInArrow(_verified_links(threshold), LINKS)
+        .withColumnRenamed("doc_id", "node")
     )
 
 
+_CLASS = ("class_a", "class_b")
+
+
+def with_class(docs: DataFrame, names: tuple[str, str] = _CLASS) -> DataFrame:
+    """``docs`` with the class of each row's word sequence; null if it has no word."""
+    at = docs.columns.index("text")
+    schema = StructType([*docs.schema.fields, *(StructField(n, LongType()) for n in names)])
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in text_slices(batch.column(at)):
+                n = rows.stop - rows.start
+                words, owners = words_of(data, offsets)
+                none = np.bincount(owners, minlength=n)[:n] == 0
+                part = batch.slice(rows.start, n)
+                hashes = [
+                    pa.array(sequence_hashes(words, owners, n, seed).view("i8"), mask=none)
+                    for seed in (1, 2)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *hashes], names=[*batch.schema.names, *names]
+                )
+
+    return docs.mapInArrow(classed, schema)
+
+
+@dataclass(frozen=True)
+class Groups:
+    """``rows``: each row with a ``doc_id``, and the class of its words (null without any).
+
+    ``nodes`` has each class once: ``node``, the least document that has it (``copy_of``),
+    its group (``label`` and its least document ``class_id``) and its number of links.
+    """
+
+    rows: DataFrame
+    nodes: DataFrame
+
+
+def find_groups(docs: DataFrame, threshold: float = THRESHOLD) -> Groups:
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    signed = stored(sign(ids.filter("doc_id is not null")), "signatures")
+    worded = signed.filter(F.size("keys") > 0)
+    # Numbered and written: both sides of joins are shuffled, so a hot class can be split.
+    classes = stored(
+        worded.groupBy(*_CLASS)
+        .agg(F.min("doc_id").alias("copy_of"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "classes",
+    )
+    # All rows of a class have one signature; the first row's is read.
+    alone = (
+        worded.join(classes.withColumnRenamed("copy_of", "doc_id"), ["doc_id", *_CLASS])
+        .select(F.col("node").alias("doc_id"), "keys", "signature")
+        .dropDuplicates(["doc_id"])
+    )
+    edges = stored(candidate_edges(alone, threshold), "candidates")
+    links = stored(verified_links(ids, classes, edges, threshold), "links")
+    joined = components(links.select(F.col("node").alias("a"), F.explode("forest").alias("b")))
+    counts = links.groupBy("node").agg(F.sum(F.size("links")).alias("n_links"))
+    labelled = stored(
+        classes.join(joined, "node", "left")
+        .join(counts, "node", "left")
+        .select(
+            *_CLASS, "node", "copy_of", F.coalesce("label", "node").alias("label"),
+            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        ),
+        "labelled",
+    )
+    least = labelled.groupBy("label").agg(F.min("copy_of").alias("class_id"))
+    nodes = stored(labelled.join(least, "label"), "nodes")
+    has_words = F.size("keys") > 0
+    rows = signed.select(
+        "doc_id", *[F.when(has_words, F.col(c)).alias(c) for c in _CLASS]
+    )
+    return Groups(rows, nodes)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each row of ``docs``: its class and its number of links.
 
@@ -362,54 +452,46 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     the connected group, ``n_links`` the number of other texts (each counted once, however
     many copies it has) that the row's text is linked to. Texts without a word, null
     included, are linked to nothing and are no copies of each other. Rows that repeat a
-    ``doc_id`` are one document, of which one text is compared; rows without ``doc_id`` take
-    no part, and their class is null. Other columns are ignored.
+    ``doc_id`` with other words are texts of their own, so each row has its own result; rows
+    without ``doc_id`` take no part, and their class is null. Other columns are ignored.
     """
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = stored(sign(ids.filter("doc_id is not null")), "signatures")
-    worded = signed.filter(F.size("keys") > 0)
-    # Written, so that both sides of the join are shuffled and a hot class can be split.
-    classes = stored(
-        worded.groupBy("class_a", "class_b").agg(F.min("doc_id").alias("copy_of")), "classes"
-    )
-    copies = stored(
-        worded.select("doc_id", "class_a", "class_b")
-        .join(classes, ["class_a", "class_b"])
-        .groupBy("doc_id")
-        .agg(F.min("copy_of").alias("copy_of")),
-        "copies",
+    found = find_groups(docs, threshold)
+    nodes = found.nodes.select(*_CLASS, "copy_of", "class_id", "n_links")
+    rows = found.rows.join(nodes, list(_CLASS), "left")
+    without = docs.filter(F.col("doc_id").cast("bigint").isNull()).select(
+        *[F.lit(None).cast("bigint").alias(c) for c in ("doc_id", "copy_of", "class_id")],
+        F.lit(0).cast("bigint").alias("n_links"),
     )
-    firsts = copies.filter("doc_id = copy_of").select("doc_id")
-    alone = worded.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    edges = stored(candidate_edges(alone, threshold), "candidates")
-    links = stored(verified_links(ids, edges, threshold), "links")
-    joined = components(
-        links.select(F.col("doc_id").alias("a"), F.explode("forest").alias("b"))
-    ).select(F.col("node").alias("copy_of"), F.col("label").alias("class_id"))
-    counts = links.groupBy(F.col("doc_id").alias("copy_of")).agg(
-        F.sum(F.size("links")).alias("n_links")
-    )
-    grouped = copies.join(joined.join(counts, "copy_of"), "copy_of", "left")
-    return ids.select("doc_id").join(grouped, "doc_id", "left").select(
+    return rows.select(
         "doc_id",
         F.coalesce("copy_of", "doc_id").alias("copy_of"),
-        F.coalesce("class_id", "copy_of", "doc_id").alias("class_id"),
+        F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-    )
+    ).union(without)
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, that are the first of their class.
+    """The rows of ``docs``, all columns, of which each group keeps one.
 
-    Of rows that repeat a ``doc_id`` one stays; rows without one all stay.
+    It is a row of the group's smallest ``doc_id``; of several such texts or equal rows, one
+    stays. Rows without ``doc_id``, and rows without a word, all stay.
     """
-    found = near_duplicates(docs, threshold)
-    kept = found.filter("doc_id = class_id").select(F.col("doc_id").alias("__id")).distinct()
-    keyed = docs.withColumn("__id", F.col("doc_id").cast("bigint"))
-    without = keyed.filter("__id is null")
+    found = find_groups(docs, threshold)
+    firsts = (
+        found.nodes.filter("copy_of = class_id")
+        .groupBy("label")
+        .agg(F.min_by(F.struct("copy_of", *_CLASS), "node").alias("first"))
+        .select("first.*")
+    )
+    names = [free_name(n, docs.columns) for n in _CLASS]
+    key = free_name("id", docs.columns)
+    keyed = with_class(docs, (names[0], names[1])).withColumn(key, F.col("doc_id").cast("bigint"))
+    apart = F.col(key).isNull() | F.col(names[0]).isNull()
+    kept = firsts.toDF(key, *names)
     return (
-        keyed.join(kept, "__id", "left_semi")
-        .dropDuplicates(["__id"])
-        .unionByName(without)
+        keyed.filter(~apart)
+        .join(kept, [key, *names], "left_semi")
+        .dropDuplicates([key, *names])
         .select(docs.columns)
+        .union(keyed.filter(apart).select(docs.columns))
     )
