@@ -50,17 +50,16 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
          "source", "track", "wbr"}
 _ARTICLE = {"article", "main"}
 
+#: A quote opens a value only behind ``=``, and only if it is closed; any other quote is an
+#: ordinary character of the tag.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(
-    r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style)\s*"
-    r"(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?",
-    re.IGNORECASE,
-)
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_TOLD = {"class", "id", "role", "hidden", "aria-hidden", "style"}
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -84,60 +83,129 @@ class Page:
     articles: int = 0
 
 
-def _stands_beside(name: str, attributes: str, in_article: bool) -> bool:
+#: With one of these words in front, a name is of an aside as well.
+_ASIDE_FIRST = {"ad", "ads", "advert", "comment", "comments", "cookie", "cookies", "disqus",
+                "newsletter", "outbrain", "sponsored", "taboola"}
+#: What is closed by the next element of its kind.
+_CLOSED_BY_NEXT = {"li", "dd", "dt", "td", "th", "tr", "option"}
+#: An element that only has an aside's word somewhere in its name is none if it holds this
+#: share of the words that stand in no certain aside.
+_WRAPS = 0.5
+
+
+def _stands_beside(name: str, attributes: str, in_article: bool) -> str:
+    """Whether an element stands beside the article: ``yes``, ``maybe`` or nothing.
+
+    Certain are elements that say so, what is hidden, and names that are an aside's word or
+    end in one (``site-footer``). A name with such a word elsewhere is a ``maybe``.
+    """
     if name in _ASIDE and not (name == "header" and in_article):
-        return True
+        return "yes"
     if name in _ARTICLE or name in ("html", "body"):
-        return False
+        return ""
+    words = _ASIDE_WORDS - {"header"} if in_article else _ASIDE_WORDS
+    found = ""
     for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'")
+        key = key.lower()
+        if key not in _TOLD:
+            continue
+        if value[:1] in ("'", '"') and value[-1:] == value[:1]:
+            value = value[1:-1]
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return "yes"
         if key == "style" and _HIDDEN.search(value):
-            return True
+            return "yes"
         if key in ("class", "id", "role"):
-            parts = {part.lower() for part in _NAME_PARTS.findall(value)}
-            if not _ASIDE_WORDS.isdisjoint(parts - {"header"} if in_article else parts):
-                return True
-    return False
+            for token in value.split():
+                parts = [part.lower() for part in _NAME_PARTS.findall(token)]
+                if words.isdisjoint(parts):
+                    continue
+                if parts[-1] in words or parts[0] in _ASIDE_FIRST:
+                    return "yes"
+                found = "maybe"
+    return found
+
+
+def _unclosed(source: str) -> set[int]:
+    """Where elements that stand beside begin that are never closed."""
+    opened: dict[str, list[int]] = {}
+    for found in _ASIDE_TAGS.finditer(source):
+        name = found[2].lower()
+        if not found[1]:
+            opened.setdefault(name, []).append(found.start())
+        elif opened.get(name):
+            opened[name].pop()
+    return {at for places in opened.values() for at in places}
+
+
+_ASIDE_TAGS = re.compile(rf"<(/?)({'|'.join(sorted(_ASIDE))})(?=[\s/>])", re.IGNORECASE)
+
+
+@dataclass
+class _Aside:
+    """An open element that stands beside: its depth, and the ``maybe`` it is, if any.
+
+    One that is never closed ends where a paragraph, heading or article begins.
+    """
+
+    depth: int
+    maybe: int | None
+    unclosed: bool
 
 
 def parse_page(source: str) -> Page:
-    """Words, tags and blocks of a page in one pass; broken markup never fails."""
+    """Words, tags and blocks of a page in one pass; broken markup never fails.
+
+    An element ends with the one around it, whether it is closed or not.
+    """
     page = Page(blocks=[Block()])
-    beside: list[list] = []  # open elements that stand beside: [name, how often it is open]
-    links = headings = 0
+    stack: list[str] = []
+    asides: list[_Aside] = []
+    certain: list[bool] = []  # for words: in a certain aside?
+    maybes: list[frozenset[int]] = []  # for words: the uncertain asides they are in
+    block_maybes: list[frozenset[int]] = [frozenset()]
+    unclosed = _unclosed(source)
+    links = headings = open_articles = n_maybes = 0
     at, n = 0, len(source)
+    now_certain, now_maybes = False, frozenset()
+
+    def mark() -> None:
+        nonlocal now_certain, now_maybes
+        now_certain = any(a.maybe is None for a in asides)
+        now_maybes = frozenset(a.maybe for a in asides if a.maybe is not None)
 
     def text(raw: str) -> None:
         if not raw:
             return
         plain = html.unescape(raw)
         block = page.blocks[-1]
-        if beside and not block.beside and not "".join(block.parts).strip():
-            block.beside = True
+        if (now_certain or now_maybes) and not "".join(block.parts).strip():
+            block.beside, block_maybes[-1] = now_certain, now_maybes
         block.parts.append(plain)
-        kind = (
-            "word:beside"
-            if beside
-            else "word:link"
-            if links
-            else "word:heading"
-            if headings
-            else "word:plain"
-        )
+        kind = "word:link" if links else "word:heading" if headings else "word:plain"
         for _ in plain.split():
             page.kinds.append(kind)
             page.of_block.append(len(page.blocks) - 1)
             page.inside.append(page.articles > 0 and open_articles > 0)
+            certain.append(now_certain)
+            maybes.append(now_maybes)
 
     def new_block() -> None:
         if page.blocks[-1].parts:
-            page.blocks.append(Block(beside=bool(beside)))
-        else:
-            page.blocks[-1].beside = bool(beside)
+            page.blocks.append(Block())
+            block_maybes.append(frozenset())
+        page.blocks[-1].beside, block_maybes[-1] = now_certain, now_maybes
+
+    def shorten(depth: int) -> None:
+        nonlocal open_articles
+        for name in stack[depth:]:
+            open_articles -= name in _ARTICLE
+        del stack[depth:]
+        if asides and asides[-1].depth >= depth:
+            while asides and asides[-1].depth >= depth:
+                asides.pop()
+            mark()
 
-    open_articles = 0
     while at < n:
         found = _TOKEN.search(source, at)
         if found is None:
@@ -148,7 +216,8 @@ def parse_page(source: str) -> Page:
         if found[2] is None or not found[4]:
             continue  # a comment, a declaration, or a tag that the page's end cuts off
         name, closing = found[2].lower(), bool(found[1])
-        if not closing and name in _RAW and not found[3].endswith("/"):
+        empty = found[3].endswith("/") and not found[3].endswith("=/")
+        if not closing and name in _RAW and not empty:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.IGNORECASE).search(
                 source, at
             )
@@ -160,34 +229,72 @@ def parse_page(source: str) -> Page:
         if name in _BLOCK:
             new_block()
         if closing:
-            if beside and beside[-1][0] == name:
-                beside[-1][1] -= 1
-                if not beside[-1][1]:
-                    beside.pop()
-            if name in _ARTICLE:
-                open_articles = max(0, open_articles - 1)
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth] == name:
+                    shorten(depth)
+                    break
             links -= name == "a" and links > 0
             headings -= name in _HEADINGS and headings > 0
-        elif name not in _VOID and not found[3].endswith("/"):
-            if beside and beside[-1][0] == name:
-                beside[-1][1] += 1
-            elif _stands_beside(name, found[3], open_articles > 0):
-                beside.append([name, 1])
+        elif name not in _VOID and not empty:
+            if stack and (
+                (stack[-1] == "p" and name in _BLOCK)
+                or (stack[-1] == name and name in _CLOSED_BY_NEXT)
+            ):
+                shorten(len(stack) - 1)
+            if asides and asides[-1].unclosed and (name == "p" or name in _HEADINGS | _ARTICLE):
+                asides.pop()
+                mark()
+            beside = _stands_beside(name, found[3], open_articles > 0)
+            if beside:
+                maybe = None if beside == "yes" else n_maybes
+                n_maybes += beside == "maybe"
+                asides.append(_Aside(len(stack), maybe, found.start() in unclosed))
+                mark()
             elif name in _ARTICLE:
-                open_articles += 1
-                page.articles += not beside
+                page.articles += not now_certain
+            open_articles += name in _ARTICLE
+            stack.append(name)
             links += name == "a"
             headings += name in _HEADINGS
         elif name == "br":
             page.blocks[-1].parts.append(" ")
         if name in _BLOCK:
-            page.blocks[-1].beside = bool(beside)
-        page.kinds.append(("tag:beside:" if beside else "tag:") + ("/" if closing else "") + name)
+            page.blocks[-1].beside, block_maybes[-1] = now_certain, now_maybes
+        page.kinds.append("tag:" + ("/" if closing else "") + name)
         page.of_block.append(-1)
         page.inside.append(open_articles > 0)
+        certain.append(now_certain)
+        maybes.append(now_maybes)
+    _settle(page, certain, maybes, block_maybes, n_maybes)
     return page
 
 
+def _settle(
+    page: Page,
+    certain: list[bool],
+    maybes: list[frozenset[int]],
+    block_maybes: list[frozenset[int]],
+    n_maybes: int,
+) -> None:
+    """Decide which uncertain asides are some, and name words and tags in asides so."""
+    held = [0] * n_maybes
+    words = 0
+    for kind, sure, inside in zip(page.kinds, certain, maybes):
+        if kind.startswith("word:") and not sure:
+            words += 1
+            for k in inside:
+                held[k] += 1
+    wraps = {k for k in range(n_maybes) if held[k] >= _WRAPS * words}
+    for k, (sure, inside) in enumerate(zip(certain, maybes)):
+        if sure or inside - wraps:
+            kind = page.kinds[k]
+            page.kinds[k] = (
+                "word:beside" if kind.startswith("word:") else f"tag:beside:{kind[4:]}"
+            )
+    for block, inside in zip(page.blocks, block_maybes):
+        block.beside = block.beside or bool(inside - wraps)
+
+
 #: Kinds of tags that are told apart; others share one weight.
 KNOWN_TAGS = _BLOCK | _VOID | {
     "a", "abbr", "b", "cite", "code", "em", "font", "i", "label", "mark", "q", "s", "small",
@@ -239,7 +346,8 @@ def learn_weights(pages: DataFrame, labelled_pages: int = LABELLED_PAGES) -> Wei
     """Weights from pages that label themselves with exactly one article or main element.
 
     What is in that element and in no aside of it counts as inside. At most
-    ``labelled_pages`` pages are used, those whose url and id hash smallest; counts by kind
+    ``labelled_pages`` pages are used, those whose url and id hash smallest; a page counts
+    once, however many rows repeat it, with the least of their sources. Counts by kind
     are summed by Spark, and there are no more kinds than known tags allow.
     """
 
@@ -261,11 +369,22 @@ def learn_weights(pages: DataFrame, labelled_pages: int = LABELLED_PAGES) -> Wei
                 names=["kind", "inside", "outside"],
             )
 
-    keys = pages.select("page_id", F.xxhash64("page_id", "url").alias("h"))
-    chosen = keys.orderBy("h", "page_id").limit(labelled_pages).select("page_id").distinct()
+    # A null id or url is a value like others.
+    key = [
+        F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("page_id", "url")
+    ]
+    known = pages.select(*key, F.col("html").cast("string"))
+    chosen = (
+        known.select("page_id", "url")
+        .distinct()
+        .orderBy(F.xxhash64("page_id", "url"), "page_id", "url")
+        .limit(labelled_pages)
+    )
     rows = (
-        pages.join(F.broadcast(chosen), "page_id")
-        .select(F.col("html").cast("string"))
+        known.join(F.broadcast(chosen), ["page_id", "url"])  # at most that many rows
+        .groupBy("page_id", "url")
+        .agg(F.min("html").alias("html"))
+        .select("html")
         .mapInArrow(count, "kind string, inside bigint, outside bigint")
         .groupBy("kind")
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
@@ -316,7 +435,9 @@ def extract_pages(pages: DataFrame, weights: Weights | None = None) -> DataFrame
     """One row for each row of ``pages``: ``page_id``, ``url``, ``text``, ``n_chars``.
 
     A null or empty html gives an empty text. Without ``weights`` they are learned from
-    ``pages`` itself. Pages are independent: repeated rows and null ids stay as they are.
+    ``pages`` itself; an empty table leaves what holds without any page. Pages are
+    independent: repeated rows and null ids stay as they are. Other columns, whatever their
+    names, do not matter. Long pages are read whole, in one pass.
     """
     held = learn_weights(pages) if weights is None else weights
     kinds = ", ".join(
