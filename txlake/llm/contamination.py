@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlake.llm.text import NOT_ALNUM, shingles_of, text_slices, utf8, words_of
+from txlake.llm.working import free_name
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.7
@@ -257,20 +258,24 @@ def leaks(
     into the answer, null if there is none. Items are indexed in shards of at most
     ``shard_items``, which bounds what is sent to the executors at once; every document is
     searched in every shard. Null texts have no words. Rows that repeat an ``item_id`` count
-    as items of their own; equal rows of the result appear once for each pair of rows.
+    as items of their own; equal rows of the result appear once for each pair of rows. A
+    null ``item_id`` stays null. Without documents or items there is no row. Long texts are
+    searched whole, passage by passage; columns besides ids and texts do not matter.
     """
     shards = _shards(benchmark, shard_items)
     found = None
-    for index in shards:
+    for index, item_ids in shards:
         part = docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(
-            _searcher(index, threshold, overlap, ngram), FOUND
+            _searcher(index, item_ids, threshold, overlap, ngram), FOUND
         )
         found = part if found is None else found.union(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], FOUND)
 
 
-def _shards(benchmark: DataFrame, shard_items: int) -> Iterator[ItemIndex]:
-    """Indexes of at most ``shard_items`` items, fetched one after the other."""
+def _shards(
+    benchmark: DataFrame, shard_items: int
+) -> Iterator[tuple[ItemIndex, list[int | None]]]:
+    """Indexes of at most ``shard_items`` items, fetched one after the other, and their ids."""
     keyed = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     n = keyed.count()
     parts = max(1, -(-n // shard_items))
@@ -281,13 +286,17 @@ def _shards(benchmark: DataFrame, shard_items: int) -> Iterator[ItemIndex]:
             key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"] or ""),
         )
         if rows:
-            yield build_item_index(
-                [-1 if r["item_id"] is None else r["item_id"] for r in rows],
-                [r["text"] for r in rows],
-            )
+            texts = [r["text"] for r in rows]
+            yield build_item_index(list(range(len(rows))), texts), [r["item_id"] for r in rows]
 
 
-def _searcher(index: ItemIndex, threshold: float, overlap: float, ngram: int):
+def _searcher(
+    index: ItemIndex,
+    item_ids: list[int | None],
+    threshold: float,
+    overlap: float,
+    ngram: int,
+):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
@@ -315,7 +324,7 @@ def _searcher(index: ItemIndex, threshold: float, overlap: float, ngram: int):
                             out.append(
                                 (
                                     ids[rows.start + text].as_py(),
-                                    int(index.item_ids[item]),
+                                    item_ids[int(index.item_ids[item])],
                                     score,
                                     float(asked.mean()),
                                     float(answered.mean()) if len(answered) else None,
@@ -340,7 +349,8 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     Rows are matched by ``doc_id``; rows without one are kept.
     """
     leaked = leaks(docs, benchmark, **options).select("doc_id").distinct()
-    kept = docs.withColumn("__id", F.col("doc_id").cast("bigint")).join(
-        leaked.withColumnRenamed("doc_id", "__id"), "__id", "left_anti"
+    key = free_name("id", docs.columns)
+    kept = docs.withColumn(key, F.col("doc_id").cast("bigint")).join(
+        leaked.withColumnRenamed("doc_id", key), key, "left_anti"
     )
     return kept.select(docs.columns)
