@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 from itertools import combinations
 
@@ -414,3 +415,32 @@ def test_near_duplicates_with_equal_ids_and_different_texts(spark):
         assert kept.columns == docs.columns
         kept = sorted((r["doc_id"], " ".join(r["text"].split()), r["class_a"], r["id"]) for r in kept.collect())
         assert kept == [(1, " ".join(a), "c", "d"), (3, " ".join(b), "c", "d")]
+
+
+def test_token_store_against_a_plain_loop(spark, odd_docs):
+    """Starts, lengths and checksums of all documents, in small blocks."""
+    from tokenizers import Tokenizer
+
+    from txlake.llm.tokens import vocabulary_path
+
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    docs = odd_docs.union(odd_docs.filter("doc_id = 3")).repartition(3)
+    encoded = sorted(
+        (d is not None, d or 0, [*tokenizer.encode(t, add_special_tokens=False).ids, 2])
+        for d, t in texts_of(docs)
+    )
+    want, start = [], 0
+    for known, d, ids in encoded:
+        want.append((d if known else None, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    for block_ids in (50, 1 << 17):
+        blocks = token_store.write_blocks(docs, vocabulary_path(), shards=3, block_ids=block_ids)
+        store = token_store.TokenStore(blocks, *token_store.build_index(blocks, bucket_keys=3))
+        found = token_store.lookup(store, token_store.keys_of(docs))
+        read = token_store.read_ids(store, found, checksums=True)
+        got = read.join(token_store.shard_starts(blocks), "shard").selectExpr(
+            f"nullif(doc_id, {token_store.NO_ID}L)", "before + start", "n_tokens", "ids_crc32"
+        )
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == want
+    unknown = spark.createDataFrame([(99, 0), (3, 9)], "doc_id long, copy long")
+    assert token_store.lookup(store, unknown).count() == 0

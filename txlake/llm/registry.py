@@ -77,12 +77,9 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     store = token_store.write_tokens(docs)
-    read = token_store.read_ids(store, token_store.lookup(store, token_store.keys_of(docs)))
-    summed = read.select("doc_id", "shard", "start", "n_tokens", "ids").mapInArrow(
-        token_store.checksums,
-        "doc_id bigint, shard bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
-    )
-    return summed.join(token_store.shard_starts(store.blocks), "shard").select(
+    found = token_store.lookup(store, token_store.keys_of(docs))
+    read = token_store.read_ids(store, found, checksums=True)
+    return read.join(token_store.shard_starts(store.blocks), "shard").select(
         F.nullif("doc_id", F.lit(token_store.NO_ID)).alias("doc_id"),
         (F.col("before") + F.col("start")).alias("start"),
         "n_tokens",

@@ -20,19 +20,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlake.llm.text import mix
+from txlake.llm.text import mix, utf8
 from txlake.llm.tokens import encoded_slices, encoder, vocabulary_path
 from txlake.llm.working import shuffle_partitions, stored, stored_buckets
 
 END_ID = 2
 BLOCK_IDS = 1 << 17
 BUCKET_KEYS = 2000
-NO_ID = -(1 << 63)  # stands for a null doc_id, which sorts first
+#: Stands for a null doc_id, which sorts first. A document of that very id, the least of
+#: all, is taken for one without.
+NO_ID = -(1 << 63)
 
 BLOCKS = (
     "shard bigint, block_id bigint, first_id bigint, n_ids bigint, id_bytes int, "
@@ -115,6 +116,83 @@ def bucket_of(doc_id: Column, copy: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(doc_id, copy), F.lit(buckets)).cast("bigint")
 
 
+class _BlockWriter:
+    """Cuts documents that come in order into blocks; a batch is cut by positions, not rows."""
+
+    def __init__(self, id_bytes: int, block_ids: int) -> None:
+        self._id_bytes, self._block_ids = id_bytes, block_ids
+        self._shard, self._block, self._before = -1, 0, 0
+        self._last: tuple[int, int] | None = None  # the last document and its copy number
+        self._clear()
+
+    def _clear(self) -> None:
+        self._held = 0
+        self._doc_ids: list[np.ndarray] = []
+        self._copies: list[np.ndarray] = []
+        self._ends: list[np.ndarray] = []
+        self._parts: list[bytes] = []
+
+    def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        shards, doc_ids = (np.asarray(batch.column(k)) for k in (0, 1))
+        payload, offsets = utf8(batch.column(2))
+        stops = offsets // self._id_bytes
+        new_shard = np.append(True, shards[1:] != shards[:-1]) if len(shards) else []
+        edges = [*np.flatnonzero(new_shard).tolist(), len(shards)]
+        for first, last in zip(edges, edges[1:]):
+            if int(shards[first]) != self._shard:
+                yield from self.flush()
+                self._shard, self._block, self._before = int(shards[first]), 0, 0
+                self._last = None
+            copies = self._copy_numbers(doc_ids[first:last])
+            at = first
+            while at < last:
+                # A block takes documents until it has enough ids.
+                wanted = stops[at] + self._block_ids - self._held
+                end = min(last, max(at + 1, int(np.searchsorted(stops, wanted, side="left"))))
+                self._doc_ids.append(doc_ids[at:end])
+                self._copies.append(copies[at - first : end - first])
+                self._ends.append(self._held + stops[at + 1 : end + 1] - stops[at])
+                self._parts.append(payload[offsets[at] : offsets[end]].tobytes())
+                self._held += int(stops[end] - stops[at])
+                at = end
+                if self._held >= self._block_ids:
+                    yield from self.flush()
+
+    def _copy_numbers(self, doc_ids: np.ndarray) -> np.ndarray:
+        """0, 1, ... for consecutive rows of one document, also across batches."""
+        new = np.append(True, doc_ids[1:] != doc_ids[:-1])
+        first = np.flatnonzero(new)
+        rank = np.arange(len(doc_ids)) - np.repeat(first, np.diff(np.append(first, len(doc_ids))))
+        if self._last is not None and self._last[0] == int(doc_ids[0]):
+            size = int(first[1]) if len(first) > 1 else len(doc_ids)
+            rank[:size] += self._last[1] + 1
+        self._last = int(doc_ids[-1]), int(rank[-1])
+        return rank
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self._parts:
+            return
+        listed = [
+            pa.array([np.concatenate(c).astype(np.int64)], pa.list_(pa.int64()))
+            for c in (self._doc_ids, self._copies, self._ends)
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([self._shard], pa.int64()),
+                pa.array([(self._shard << 32) + self._block], pa.int64()),
+                pa.array([self._before], pa.int64()),
+                pa.array([self._held], pa.int64()),
+                pa.array([self._id_bytes], pa.int32()),
+                *listed,
+                pa.array([b"".join(self._parts)], pa.binary()),
+            ],
+            names=[c.split()[0] for c in BLOCKS.split(", ")],
+        )
+        self._before += self._held
+        self._block += 1
+        self._clear()
+
+
 def write_blocks(
     docs: DataFrame,
     vocabulary: str,
@@ -156,69 +234,17 @@ def write_blocks(
                 )
 
     def layout(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc_ids: list[int] = []
-        copies: list[int] = []
-        ends: list[int] = []
-        parts: list[bytes] = []
-        shard, held, block, before, last_key, copy = -1, 0, 0, 0, None, 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal doc_ids, copies, ends, parts, held, block, before
-            out = pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "shard": shard,
-                        "block_id": (shard << 32) + block,
-                        "first_id": before,
-                        "n_ids": held,
-                        "id_bytes": id_bytes,
-                        "doc_ids": doc_ids,
-                        "copies": copies,
-                        "ends": ends,
-                        "payload": b"".join(parts),
-                    }
-                ],
-                schema=pa.schema(
-                    [
-                        ("shard", pa.int64()),
-                        ("block_id", pa.int64()),
-                        ("first_id", pa.int64()),
-                        ("n_ids", pa.int64()),
-                        ("id_bytes", pa.int32()),
-                        ("doc_ids", pa.list_(pa.int64())),
-                        ("copies", pa.list_(pa.int64())),
-                        ("ends", pa.list_(pa.int64())),
-                        ("payload", pa.binary()),
-                    ]
-                ),
-            )
-            before += held
-            block += 1
-            doc_ids, copies, ends, parts, held = [], [], [], [], 0
-            return out
-
+        writer = _BlockWriter(id_bytes, block_ids)
         for batch in batches:
-            for s, doc_id, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if parts and (s != shard or held >= block_ids):
-                    yield flush()
-                if s != shard:
-                    shard, block, before, last_key = s, 0, 0, None
-                copy = copy + 1 if doc_id == last_key else 0
-                last_key = doc_id
-                held += len(ids) // id_bytes
-                doc_ids.append(doc_id)
-                copies.append(copy)
-                ends.append(held)
-                parts.append(ids)
-        if parts:
-            yield flush()
+            yield from writer.add(batch)
+        yield from writer.flush()
 
     encoded = keyed.mapInArrow(encode, "shard bigint, doc_id bigint, ids binary")
     ordered = encoded.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions(
         "shard", "doc_id"
     )
     return stored_buckets(
-        ordered.mapInArrow(layout, BLOCKS), "token_blocks", "block_id", shards
+        ordered.mapInArrow(layout, BLOCKS), "token_blocks", "block_id", shards, "uncompressed"
     )
 
 
@@ -246,29 +272,30 @@ def build_index(blocks: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[Data
     keys = listed.count()
     buckets = max(1, -(-keys // bucket_keys))
 
-    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        hashes = key_hash(rows["doc_id"].to_numpy(), rows["copy"].to_numpy())
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        held = {c: rows.column(c).to_numpy() for c in rows.schema.names}
+        hashes = key_hash(held["doc_id"], held["copy"])
         n = len(hashes)
         displacements = build_minimal_hash(hashes)
         slots = find_slots(hashes, displacements, n)
         where = np.empty(n, np.int64)
         where[slots] = np.arange(n)
-        return pd.DataFrame(
+        return pa.table(
             {
-                "bucket": [key[0]],
-                "n_keys": [n],
+                "bucket": pa.array([key[0].as_py()], pa.int64()),
+                "n_keys": pa.array([n], pa.int64()),
                 "displacements": [displacements.astype("<i8").tobytes()],
                 "fingerprints": [fingerprint(hashes)[where].tobytes()],
-                "blocks": [rows["block_id"].to_numpy()[where].astype("<i8").tobytes()],
-                "starts": [rows["start"].to_numpy()[where].astype("<i8").tobytes()],
-                "lengths": [rows["length"].to_numpy()[where].astype("<i8").tobytes()],
+                "blocks": [held["block_id"][where].astype("<i8").tobytes()],
+                "starts": [held["start"][where].astype("<i8").tobytes()],
+                "lengths": [held["length"][where].astype("<i8").tobytes()],
             }
         )
 
     index = (
         listed.withColumn("bucket", bucket_of(F.col("doc_id"), F.col("copy"), buckets))
         .groupBy("bucket")
-        .applyInPandas(build, INDEX)
+        .applyInArrow(build, INDEX)
     )
     return stored(index, "token_index"), buckets
 
@@ -282,36 +309,37 @@ def lookup(store: TokenStore, keys: DataFrame) -> DataFrame:
         "bucket", bucket_of(F.col("doc_id"), F.col("copy"), store.buckets)
     )
 
-    def find(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or held.empty:
-            return pd.DataFrame(
-                {c.split()[0]: pd.Series(dtype="int64") for c in FOUND.split(", ")}
+    names = [c.split()[0] for c in FOUND.split(", ")]
+
+    def find(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
+        columns = [np.zeros(0, np.int64)] * len(names)
+        if asked.num_rows and held.num_rows:
+            row = held.slice(0, 1).to_pylist()[0]
+            doc_ids, copies = (asked.column(c).to_numpy() for c in ("doc_id", "copy"))
+            hashes = key_hash(doc_ids, copies)
+            slots = find_slots(
+                hashes, np.frombuffer(row["displacements"], "<i8"), row["n_keys"]
             )
-        row = held.iloc[0]
-        hashes = key_hash(asked["doc_id"].to_numpy(), asked["copy"].to_numpy())
-        slots = find_slots(hashes, np.frombuffer(row["displacements"], "<i8"), row["n_keys"])
-        known = np.frombuffer(row["fingerprints"], "<u4")[slots] == fingerprint(hashes)
-        slots = slots[known]
-        return pd.DataFrame(
-            {
-                "doc_id": asked["doc_id"].to_numpy()[known],
-                "copy": asked["copy"].to_numpy()[known],
-                "block_id": np.frombuffer(row["blocks"], "<i8")[slots],
-                "start": np.frombuffer(row["starts"], "<i8")[slots],
-                "length": np.frombuffer(row["lengths"], "<i8")[slots],
-            }
-        )
+            known = np.frombuffer(row["fingerprints"], "<u4")[slots] == fingerprint(hashes)
+            slots = slots[known]
+            columns = [
+                doc_ids[known],
+                copies[known],
+                *(np.frombuffer(row[c], "<i8")[slots] for c in ("blocks", "starts", "lengths")),
+            ]
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
 
     return (
-        dealt.groupBy("bucket").cogroup(store.index.groupBy("bucket")).applyInPandas(find, FOUND)
+        dealt.groupBy("bucket").cogroup(store.index.groupBy("bucket")).applyInArrow(find, FOUND)
     )
 
 
-def read_ids(store: TokenStore, found: DataFrame) -> DataFrame:
+def read_ids(store: TokenStore, found: DataFrame, checksums: bool = False) -> DataFrame:
     """Read the payload at each place ``lookup`` found.
 
     One row for each: ``doc_id``, ``copy``, ``shard``, ``start`` within the shard,
-    ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit). The places asked for in a block
+    ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit), or with ``checksums`` their
+    ``ids_crc32``, so that ids that are only checked do not leave the task. The places asked for in a block
     are gathered per block, which bounds them; payloads stay where they are.
     """
     asked = found.groupBy("block_id").agg(
@@ -321,6 +349,8 @@ def read_ids(store: TokenStore, found: DataFrame) -> DataFrame:
         asked, "block_id"
     )
 
+    last = "ids_crc32 bigint" if checksums else "ids binary"
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
@@ -331,27 +361,25 @@ def read_ids(store: TokenStore, found: DataFrame) -> DataFrame:
                 doc_ids, copies, starts, lengths = (
                     places.field(c) for c in ("doc_id", "copy", "start", "length")
                 )
+                held = np.frombuffer(payload, f"<u{width}").astype("<u4", copy=False)
                 ids = [
-                    np.frombuffer(payload[s * width : (s + n) * width], f"<u{width}")
-                    .astype("<u4")
-                    .tobytes()
+                    zlib.crc32(held[s : s + n]) if checksums else held[s : s + n].tobytes()
                     for s, n in zip(starts.to_pylist(), lengths.to_pylist(), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         doc_ids,
                         copies,
-                        pa.array([row["shard"].as_py()] * len(ids), pa.int64()),
+                        pa.array(np.full(len(ids), row["shard"].as_py())),
                         pa.array(np.asarray(starts) + before, pa.int64()),
                         lengths,
-                        pa.array(ids, pa.binary()),
+                        pa.array(ids, pa.int64() if checksums else pa.binary()),
                     ],
-                    names=["doc_id", "copy", "shard", "start", "n_tokens", "ids"],
+                    names=["doc_id", "copy", "shard", "start", "n_tokens", last.split()[0]],
                 )
 
     return met.mapInArrow(
-        read,
-        "doc_id bigint, copy bigint, shard bigint, start bigint, n_tokens bigint, ids binary",
+        read, f"doc_id bigint, copy bigint, shard bigint, start bigint, n_tokens bigint, {last}"
     )
 
 
@@ -381,13 +409,3 @@ def keys_of(docs: DataFrame) -> DataFrame:
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("copy"),
         )
     )
-
-
-def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the last column, raw ids, by their crc32."""
-    for batch in batches:
-        sums = [zlib.crc32(b) for b in batch.columns[-1].to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(sums, pa.int64())],
-            names=[*batch.schema.names[:-1], "ids_crc32"],
-        )

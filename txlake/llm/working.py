@@ -23,7 +23,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stored_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+def stored_buckets(
+    df: DataFrame, name: str, key: str, buckets: int, compression: str = "zstd"
+) -> DataFrame:
     """Like ``stored``, hash-bucketed by ``key``: joins and groups on it move no row of it.
 
     Spark finds the buckets through its catalog, so the table ``txlake_<name>_<id>`` stays
@@ -33,7 +35,7 @@ def stored_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFram
     table = f"txlake_{name}_{uuid4().hex}"
     (
         df.write.format("parquet")
-        .option("compression", "zstd")
+        .option("compression", compression)
         .option("path", f"{scratch_dir(spark)}/{name}")
         .bucketBy(buckets, key)
         .saveAsTable(table)
