@@ -248,9 +248,14 @@ def write_blocks(
     )
 
 
+def _directories(blocks: DataFrame) -> DataFrame:
+    """The blocks, for what is read beside payloads: little of each file, so by few tasks."""
+    return blocks.coalesce(shuffle_partitions(blocks.sparkSession))
+
+
 def entries(blocks: DataFrame) -> DataFrame:
     """Where each document is, from the directories of the blocks; reads no payload."""
-    return blocks.select(
+    return _directories(blocks).select(
         "block_id",
         F.inline(
             F.arrays_zip(
@@ -269,7 +274,7 @@ def entries(blocks: DataFrame) -> DataFrame:
 def build_index(blocks: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[DataFrame, int]:
     """The ``index`` table and its number of buckets; every document is in it."""
     listed = entries(blocks)
-    keys = listed.count()
+    keys = _directories(blocks).agg(F.sum(F.size("doc_ids"))).first()[0] or 0
     buckets = max(1, -(-keys // bucket_keys))
 
     def build(key: tuple, rows: pa.Table) -> pa.Table:
@@ -386,7 +391,7 @@ def read_ids(store: TokenStore, found: DataFrame, checksums: bool = False) -> Da
 def shard_starts(blocks: DataFrame) -> DataFrame:
     """The number of ids before each shard; one row for each shard."""
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
+    totals = _directories(blocks).groupBy("shard").agg(F.sum("n_ids").alias("n"))
     return totals.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
 
 
