@@ -404,4 +404,47 @@ ORACLES: dict[str, str] = {
         union all select *, 'current' from raw where transaction_type = ' sale '
         """
     ),
+    "previous_transaction": _sql(
+        """
+        select s.receiving_address, s."timestamp", s.amount, s.sending_address,
+          r."timestamp" as previous_timestamp, r.amount as previous_amount
+        from (select * from curated where transaction_type = 'sale'
+            and receiving_address <> '' and "timestamp" is not null) s
+        asof left join (
+          select receiving_address, "timestamp", max(amount) as amount from curated
+          where amount is not null and "timestamp" is not null
+          group by receiving_address, "timestamp"
+        ) r on s.receiving_address = r.receiving_address and s."timestamp" > r."timestamp"
+        """,
+        _CURATED,
+    ),
+    "within_an_hour": _sql(
+        """
+        select a.location_region, a."timestamp", a.receiving_address, a.amount,
+          b.location_region as next_location_region, b."timestamp" as next_timestamp,
+          b.receiving_address as next_receiving_address, b.amount as next_amount
+        from curated a join curated b on a.location_region = b.location_region
+          and b."timestamp" > a."timestamp" and b."timestamp" <= a."timestamp" + 3600
+        where a.location_region not in ('', '0')
+        """,
+        _CURATED,
+    ),
+    "risk_cube": _sql(
+        """
+        select location_region, transaction_type, processing_date,
+          cast(grouping_id(location_region, transaction_type, processing_date) as bigint)
+            as grouping_id,
+          sum(risk_score) as total, count(*) as n
+        from (select curated.* replace (cast(d as date) as processing_date)
+          from curated, (values ('2024-02-01'), ('2024-02-02')) as dates(d))
+        where risk_score is not null
+        group by cube (location_region, transaction_type, processing_date)
+        """,
+        _CURATED,
+    ),
+    "streamed_load": _days(
+        f"select {_CSV}, strftime(processing_date, '%Y-%m-%d') as processing_date from raw",
+        "select * from days where day < 2",
+        "0",
+    ),
 }

@@ -20,18 +20,22 @@ from txlake.functions import (
     lenient_double,
     is_category,
     lenient_long,
+    valid_address,
     valid_region,
 )
 from txlake.operators import (
     SALE,
+    asof_join,
     avg_by_group,
     avg_risk_score_by_region,
     count_copies,
+    cube_sums,
     curate,
     exact_dedup,
     invalid_counts,
     latest_sales,
     layer_totals,
+    merge_cubes,
     distinct_totals,
     normalize_columns,
     output_checks,
@@ -40,6 +44,7 @@ from txlake.operators import (
     top3_by_latest_sale_amount,
     trim_columns,
     with_conformity,
+    within_join,
 )
 from txlake.plans import load_raw, run_curate, run_landing, run_pipeline, run_quality
 from txlake.plans.jobs import read_curated, read_raw
@@ -56,6 +61,7 @@ from txlake.sources import (
     write_csv_strings,
     write_partitions,
 )
+from txlake.streaming import ingest_new_files
 
 THREE_DATES = (RUN_DATE, NEXT_DATE, "2024-02-03")
 
@@ -250,6 +256,49 @@ def top3_latest_sale_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.transform(top3_by_latest_sale_amount).transform(epoch_seconds)
 
 
+# Joins on time, subtotals
+
+
+def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curated = transactions_raw(spark, sf_dir).transform(curate).transform(epoch_seconds)
+    return curated.filter("timestamp is not null")
+
+
+@query("previous_transaction")
+def previous_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each sale with its receiver's last earlier transaction that has an amount."""
+    rows = _timed(spark, sf_dir)
+    sales = rows.filter(is_category("transaction_type", SALE) & valid_address("receiving_address"))
+    seen = rows.filter("amount is not null")
+    return asof_join(
+        sales.select("receiving_address", "timestamp", "amount", "sending_address"),
+        seen.select("receiving_address", "timestamp", "amount"),
+        "receiving_address",
+        "timestamp",
+    )
+
+
+@query("within_an_hour")
+def within_an_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different transactions of a region, the later within an hour."""
+    rows = _timed(spark, sf_dir).filter(valid_region("location_region"))
+    rows = rows.select("location_region", "timestamp", "receiving_address", "amount")
+    pairs = within_join(rows, rows, "location_region", "timestamp", 3600)
+    return pairs.filter("next_timestamp > timestamp")
+
+
+@query("risk_cube")
+def risk_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk by region, type and date, with all subtotals, from the cubes of two dates."""
+    keys = ["location_region", "transaction_type", "processing_date"]
+    rows = two_dates(transactions_raw(spark, sf_dir)).transform(curate)
+    parts = [
+        cube_sums(rows.filter(F.col("processing_date") == F.lit(d)), keys, "risk_score")
+        for d in (RUN_DATE, NEXT_DATE)
+    ]
+    return merge_cubes(parts[0].union(parts[1]), keys)
+
+
 # Data quality
 
 
@@ -344,6 +393,21 @@ def raw_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, layout)
 
 
+@query("streamed_load")
+def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table after two triggers over new files, and a third that finds none."""
+    scratch = scratch_dir(spark)
+    layout = Layout(scratch)
+    path = f"{scratch}/source"
+    for rows in _days(transactions_raw(spark, sf_dir))[:2]:
+        source_frame(rows).write.mode("append").option("header", True).option(
+            "ignoreLeadingWhiteSpace", False
+        ).option("ignoreTrailingWhiteSpace", False).csv(path)
+        ingest_new_files(spark, path, layout, RUN_DATE, f"{scratch}/checkpoint", 3)
+    ingest_new_files(spark, path, layout, RUN_DATE, f"{scratch}/checkpoint", 3)
+    return read_raw(spark, layout)
+
+
 @query("curate_job_two_dates")
 def curate_job_two_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curate a raw table of two dates, all at once; rows survive once per date."""

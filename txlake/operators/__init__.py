@@ -16,7 +16,9 @@ from txlake.operators.analytics import (
     valid_sales,
 )
 from txlake.operators.curate import curate, exact_dedup, trim_columns, type_columns
+from txlake.operators.cubes import cube_sums, merge_cubes
 from txlake.operators.ingest import ColumnCollisionError, normalize_columns, stamp_run_date
+from txlake.operators.joins import asof_join, within_join
 from txlake.operators.quality import (
     build_report,
     count_copies,
@@ -31,7 +33,11 @@ from txlake.operators.quality import (
 __all__ = [
     "SALE",
     "ColumnCollisionError",
+    "asof_join",
     "avg_by_group",
+    "cube_sums",
+    "merge_cubes",
+    "within_join",
     "avg_risk_from_sums",
     "avg_risk_score_by_region",
     "daily_latest_sales",
