@@ -347,6 +347,23 @@ ORACLES: dict[str, str] = {
         _CURATED,
         _LATEST,
     ),
+    "sketched_ranges": _days(
+        """
+        select cast(a.d as varchar) as first_date, cast(b.d as varchar) as last_date,
+          count(*) as curated_records, count(risk_score) as risk_scores,
+          count(distinct nullif(receiving_address, '')) as addresses,
+          true as addresses_within, true as risk_p25_within, true as risk_p50_within,
+          true as risk_p75_within, true as risk_p95_within
+        from (select distinct processing_date as d from curated) a
+          join (select distinct processing_date as d from curated) b on a.d <= b.d
+          join curated on processing_date between a.d and b.d
+        group by a.d, b.d
+        """,
+        """select * from days where day <> 1
+           or coalesce(length(receiving_address) + length(amount), 0) % 2 = 0""",
+        "day",
+        _CURATED,
+    ),
     "empty_load": _sql(
         """
         select stage, layer, case when stage = 'first' then 0 else n end as n, columns

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import suppress
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ from txlake.operators import (
 )
 from txlake.plans import load_raw, run_curate, run_landing, run_pipeline, run_quality
 from txlake.plans.jobs import read_curated, read_raw
-from txlake.plans.state import update_latest_sales
+from txlake.plans.state import RISK_QUANTILES, sketched_range, update_latest_sales, update_sketches
 from txlake.sources import (
     Layout,
     VersionError,
@@ -475,6 +476,52 @@ def _corrected(rows: DataFrame) -> DataFrame:
     )
 
 
+@query("sketched_ranges")
+def sketched_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses and risk quantiles of ranges of dates, from sketches that are kept by date.
+
+    Day 2 is corrected after its sketch was stored. What the sketches only estimate is held
+    against the curated rows: three percent of the addresses, two of the ranks.
+    """
+    layout = Layout(scratch_dir(spark))
+    days = _days(transactions_raw(spark, sf_dir))
+    loads = [*zip(THREE_DATES, days, strict=True), (THREE_DATES[1], _corrected(days[1]))]
+    for date, rows in loads:
+        write_partitions(
+            rows.withColumn("processing_date", F.lit(date)), layout.raw, ["processing_date"]
+        )
+        run_curate(spark, layout, [date])
+        update_sketches(spark, layout)
+    ranges = [(a, b) for k, a in enumerate(THREE_DATES) for b in THREE_DATES[k:]]
+    return reduce(DataFrame.union, [_range_of_dates(spark, layout, a, b) for a, b in ranges])
+
+
+def _range_of_dates(spark: SparkSession, layout: Layout, first: str, last: str) -> DataFrame:
+    told = sketched_range(spark, layout, first, last).first().asDict()
+    rows = read_curated(spark, layout).filter(F.col("processing_date").between(first, last))
+    address = F.when(valid_address("receiving_address"), F.col("receiving_address"))
+    risk = F.col("risk_score")
+
+    def rank_within(name: str, at: float) -> Column:
+        """Are so many scores below the estimate, and so many not above it?"""
+        below = F.count_if(risk < told[name]) / F.count(risk)
+        upto = F.count_if(risk <= told[name]) / F.count(risk)
+        return ((below <= at + 0.02) & (upto >= at - 0.02)).alias(f"{name}_within")
+
+    apart = F.abs(F.lit(told["distinct_values"]) - F.count_distinct(address))
+    return rows.agg(
+        F.count_distinct(address).alias("addresses"),
+        (apart <= 0.03 * F.count_distinct(address)).alias("addresses_within"),
+        *[rank_within(name, at) for name, at in RISK_QUANTILES.items()],
+    ).select(
+        F.lit(first).alias("first_date"),
+        F.lit(last).alias("last_date"),
+        F.lit(told["n"]).cast("bigint").alias("curated_records"),
+        F.lit(told["values"]).cast("bigint").alias("risk_scores"),
+        "*",
+    )
+
+
 @query("empty_load")
 def empty_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source with a header and no rows, as the first load, on a filled day, on another."""

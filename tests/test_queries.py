@@ -23,6 +23,7 @@ WRITERS = {
     "keyed_latest_sales",
     "narrow_load",
     "one_version_back",
+    "sketched_ranges",
     "streamed_load",
 }
 

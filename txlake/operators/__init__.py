@@ -29,6 +29,7 @@ from txlake.operators.quality import (
     profile_raw,
     with_conformity,
 )
+from txlake.operators.sketches import estimates, merge_sketches, sketch
 
 __all__ = [
     "SALE",
@@ -36,7 +37,10 @@ __all__ = [
     "asof_join",
     "avg_by_group",
     "cube_sums",
+    "estimates",
     "merge_cubes",
+    "merge_sketches",
+    "sketch",
     "within_join",
     "avg_risk_from_sums",
     "avg_risk_score_by_region",

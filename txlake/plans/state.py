@@ -1,7 +1,7 @@
 """State kept between runs, so that a day's run reads a day's rows.
 
 * By date: the profile of raw rows (written by the job that curates them), sums by region,
-  and each address's latest sale of that date. A date's part is removed before the rows it
+  sketches of addresses and risk scores, and each address's latest sale of that date. A date's part is removed before the rows it
   was made from are replaced, and whoever needs it makes the missing parts.
 * By key: each address's latest sale of all dates, in versions that are bucketed by address.
   The sales of a date are merged into it by a join that moves only that date's.
@@ -21,9 +21,11 @@ from txlake.functions.names import (
     LOCATION_REGION,
     PROCESSING_DATE,
     RECEIVING_ADDRESS,
+    RISK_SCORE,
     TIMESTAMP,
     quoted,
 )
+from txlake.functions.predicates import valid_address
 from txlake.operators.analytics import (
     daily_latest_sales,
     latest_per_key,
@@ -31,7 +33,9 @@ from txlake.operators.analytics import (
     region_sums,
     valid_sales,
 )
+from txlake.operators.ingest import checked_date
 from txlake.operators.quality import CHECK_FIELDS, DUPLICATES, TOTAL
+from txlake.operators.sketches import estimates, merge_sketches, sketch
 from txlake.sources.layout import Layout
 from txlake.sources.tables import (
     drop_partitions,
@@ -44,6 +48,8 @@ from txlake.sources.tables import (
 from txlake.sources.versions import current_version, publish, version_path
 
 CURATED_RECORDS = "curated_records"
+#: Quantiles of the risk score that are told of a range of dates.
+RISK_QUANTILES = {"risk_p25": 0.25, "risk_p50": 0.5, "risk_p75": 0.75, "risk_p95": 0.95}
 PROFILE_FIELDS = (TOTAL, DUPLICATES, *CHECK_FIELDS, CURATED_RECORDS)
 
 #: Files of a version of the latest sales; a version keeps the number it was written with.
@@ -59,7 +65,12 @@ def forget_raw(spark: SparkSession, layout: Layout, dates: Dates) -> None:
 
 def forget_curated(spark: SparkSession, layout: Layout, dates: Dates) -> None:
     """Curated rows of these dates are about to change."""
-    for path in (layout.raw_profiles, layout.region_sums, layout.daily_latest_sales):
+    for path in (
+        layout.raw_profiles,
+        layout.region_sums,
+        layout.daily_latest_sales,
+        layout.daily_sketches,
+    ):
         drop_partitions(spark, path, PROCESSING_DATE, dates)
 
 
@@ -132,6 +143,44 @@ def update_region_sums(spark: SparkSession, layout: Layout, fmt: str = "parquet"
     return read_table(spark, layout.region_sums).filter("n > 0")
 
 
+def update_sketches(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> DataFrame:
+    """Sketches of all dates; only dates without them are read from the curated table.
+
+    They tell the different valid receiving addresses, and the quantiles of the risk score.
+    """
+    dates = _missing(spark, layout, layout.daily_sketches, fmt)
+    if dates or not table_exists(spark, layout.daily_sketches):
+        address = F.when(valid_address(RECEIVING_ADDRESS), F.col(RECEIVING_ADDRESS))
+        made = sketch(
+            _curated(spark, layout, dates, fmt), address, RISK_SCORE, [PROCESSING_DATE]
+        )
+        _write_part(
+            made.select(*[c for c in made.columns if c != PROCESSING_DATE], PROCESSING_DATE),
+            layout.daily_sketches,
+            dates,
+        )
+    return read_table(spark, layout.daily_sketches).filter("n > 0")
+
+
+def sketched_range(
+    spark: SparkSession,
+    layout: Layout,
+    first: str,
+    last: str,
+    quantiles: Mapping[str, float] = RISK_QUANTILES,
+) -> DataFrame:
+    """One row on the dates from ``first`` to ``last``, from their stored sketches alone.
+
+    ``distinct_values`` estimates the receiving addresses, ``values`` counts the risk scores,
+    ``n`` the curated rows. Rows without a run date are in no range.
+    """
+    first, last = checked_date(first), checked_date(last)
+    held = partition_values(spark, layout.daily_sketches, PROCESSING_DATE)
+    dates = [d for d in held if d is not None and first <= d <= last]
+    parts = read_partitions(spark, layout.daily_sketches, PROCESSING_DATE, dates)
+    return merge_sketches(parts.filter("n > 0")).transform(estimates, quantiles)
+
+
 def _state_table(path: str, version: str) -> str:
     return f"txlake_latest_sales_{zlib.crc32(path.encode()):08x}_{version.replace('-', '_')}"
 

@@ -57,3 +57,7 @@ class Layout:
     @property
     def latest_sales(self) -> str:
         return self._uri("state", f"{self.table}_latest_sales")
+
+    @property
+    def daily_sketches(self) -> str:
+        return self._uri("state", f"{self.table}_daily_sketches")
