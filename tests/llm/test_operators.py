@@ -190,6 +190,39 @@ def test_parts(spark):
     assert found[1]["expanded_tokens"] == 7 and found[2]["expanded_tokens"] == 0
 
 
+def test_long_conversation(spark):
+    """Spans over many pieces of the text, wide characters, and attachments in most turns."""
+    none = (None,) * 5
+    rows, text, said, spans, refs = [], "", [], [], []
+    for k in range(900):
+        role = "assistant" if k % 3 else "user"
+        words = ("\U0001f600<é\\\n" * (k % 7)) + ("x" * 5000 if k % 400 == 1 else "")
+        parts = [("text", words, *none)]
+        body = words.replace("\\", "\\b").replace("<", "\\l")
+        for n in range(k % 4):
+            refs.append((len(refs) + 1, k, f"{k}-{n}"))
+            parts.append(("image", None, f"{k}-{n}", 28, 28, None, None))
+            body += f"<image:{len(refs)}>"
+        rows.append((1, k, role, parts))
+        head = f"<turn>{role}\n"
+        if role == "assistant":
+            spans.append((len(text) + len(head), len(body)))
+            said.append(body.replace("\\l", "<").replace("\\b", "\\"))
+        text += head + body + "</turn>\n"
+    talk = spark.createDataFrame(
+        rows[::-1], f"conv_id long, turn int, role string, parts array<{chat_formatting.PART_TYPE}>"
+    )
+    written = chat_formatting.format_conversations(talk, "parts")
+    found = written.first()
+    assert found["formatted"] == text and [tuple(s) for s in found["loss_spans"]] == spans
+    assert [(a["number"], a["turn"], a["ref"]) for a in found["attachments"]] == refs
+    assert found["expanded_tokens"] == len(refs)
+    back = chat_formatting.read_back(written).first()
+    loss = "".join(said)
+    assert back["n_turns"] == 900 and back["loss_chars"] == len(loss)
+    assert back["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+
+
 @pytest.mark.parametrize("name", ["op1_html_extraction", "op10_decontamination"])
 def test_registered(spark, name):
     assert contract.queries()[name](spark, SF).columns

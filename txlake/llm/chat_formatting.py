@@ -17,7 +17,7 @@ from a text or a role, and plain replacements give back what was escaped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, END, HEAD_END = "<turn>", "</turn>\n", "\n"
@@ -27,6 +27,9 @@ TRAINED_ROLE = "assistant"
 #: side, audio into frames of this many milliseconds, documents count tokens for each page.
 TILE_PIXELS, FRAME_MILLIS, PAGE_TOKENS = 28, 40, 512
 
+#: Characters of a piece in which spans are looked up.
+PIECE_CHARS = 1024
+
 PART_TYPE = (
     "struct<type:string, text:string, ref:string, width:int, height:int, "
     "millis:bigint, pages:int>"
@@ -102,116 +105,81 @@ def format_conversations(
     content = F.array(text_part(F.col("text"))) if parts is None else F.col(parts)
     rows = messages.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
-        F.struct(
-            F.col("turn").cast("bigint").alias("turn"),
-            F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-            F.coalesce(content, F.array().cast(f"array<{PART_TYPE}>")).alias("parts"),
-        ).alias("message"),
+        F.col("turn").cast("bigint").alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(content, F.array().cast(f"array<{PART_TYPE}>")).alias("parts"),
     )
-    talks = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("message")).alias("turns"))
-    # The visitor: all parts of all turns, in order, with the turn they stand in.
-    talks = talks.withColumn(
-        "attachments",
-        F.flatten(
-            F.transform(
-                "turns",
-                lambda t, k: F.transform(
-                    F.filter(t["parts"], lambda p: ~is_text(p)),
-                    lambda p: F.struct(
-                        k.cast("bigint").alias("turn"),
-                        p["type"].alias("type"),
-                        p["ref"].alias("ref"),
-                        expanded_tokens(p).alias("tokens"),
-                    ),
-                ),
-            )
-        ),
-    ).withColumn(
-        "attachments",
-        F.transform(
-            "attachments",
-            lambda a, k: F.struct(
-                (k + 1).cast("bigint").alias("number"),
-                a["turn"],
-                a["type"],
-                a["ref"],
-                a["tokens"],
-            ),
+    # What came before a turn is counted over the sorted rows, before a conversation is one
+    # value; so a turn costs its own length, however many there are.
+    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "parts")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    found = F.transform(
+        F.filter("parts", lambda p: ~is_text(p)),
+        lambda p: F.struct(
+            p["type"].alias("type"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens")
         ),
     )
-
-    def placeholder(part: Column, number: Column) -> Column:
-        return F.concat(F.lit("<"), part["type"], F.lit(":"), number.cast("string"), F.lit(">"))
-
-    def visit(turn: Column, before: Column) -> Column:
-        """The content of a turn; ``before`` attachments came earlier."""
-        return F.aggregate(
-            turn["parts"],
-            F.struct(F.lit("").alias("out"), before.cast("bigint").alias("seen")),
-            lambda state, part: F.when(
-                is_text(part),
-                F.struct(
-                    F.concat(state["out"], escape(part["text"])).alias("out"),
-                    state["seen"].alias("seen"),
-                ),
-            ).otherwise(
-                F.struct(
-                    F.concat(state["out"], placeholder(part, state["seen"] + 1)).alias("out"),
-                    (state["seen"] + 1).alias("seen"),
+    visited = (
+        rows.withColumn("found", found)
+        .withColumns(
+            {
+                "position": (F.row_number().over(in_order) - 1).cast("bigint"),
+                "seen": F.coalesce(F.sum(F.size("found")).over(before), F.lit(0)).cast("bigint"),
+            }
+        )
+        .select(
+            "conv_id",
+            "position",
+            "seen",
+            "found",
+            F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit(HEAD_END)).alias("head"),
+            _written(F.col("parts"), F.col("seen")).alias("body"),
+            (F.col("role") == trained_role).alias("trained"),
+        )
+    )
+    chars = F.length("head") + F.length("body") + len(END)
+    by_position = Window.partitionBy("conv_id").orderBy("position")
+    earlier = by_position.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(chars).over(earlier), F.lit(0)) + F.length("head")
+    talks = (
+        visited.withColumn("start", start)
+        .groupBy("conv_id")
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct("position", "seen", "found", "head", "body", "trained", "start")
                 )
-            ),
-            lambda state: state["out"],
+            ).alias("turns")
         )
-
-    talks = talks.withColumn(
-        "written",
+    )
+    attachments = F.flatten(
         F.transform(
             "turns",
-            lambda t, k: F.struct(
-                F.concat(F.lit(TURN), escape_role(t["role"]), F.lit(HEAD_END)).alias("head"),
-                visit(t, F.size(F.filter("attachments", lambda a: a["turn"] < k))).alias("body"),
-                (t["role"] == trained_role).alias("trained"),
-            ),
-        ),
-    )
-    # Character positions: a running sum over the turns.
-    laid = talks.withColumn(
-        "loss_spans",
-        F.aggregate(
-            "written",
-            F.struct(
-                F.lit(0).cast("bigint").alias("at"),
-                F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"),
-            ),
-            lambda state, w: F.struct(
-                (
-                    state["at"] + F.length(w["head"]) + F.length(w["body"]) + len(END)
-                ).alias("at"),
-                F.when(
-                    w["trained"],
-                    F.concat(
-                        state["spans"],
-                        F.array(
-                            F.struct(
-                                (state["at"] + F.length(w["head"])).alias("start"),
-                                F.length(w["body"]).cast("bigint").alias("length"),
-                            )
-                        ),
-                    ),
-                )
-                .otherwise(state["spans"])
-                .alias("spans"),
+            lambda t: F.transform(
+                t["found"],
+                lambda a, k: F.struct(
+                    (t["seen"] + k + 1).cast("bigint").alias("number"),
+                    t["position"].alias("turn"),
+                    a["type"].alias("type"),
+                    a["ref"].alias("ref"),
+                    a["tokens"].alias("tokens"),
+                ),
             ),
-            lambda state: state["spans"],
-        ),
+        )
     )
-    return laid.select(
+    return talks.withColumn("attachments", attachments).select(
         "conv_id",
         F.size("turns").cast("bigint").alias("n_turns"),
         F.array_join(
-            F.transform("written", lambda w: F.concat(w["head"], w["body"], F.lit(END))), ""
+            F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(END))), ""
         ).alias("formatted"),
-        "loss_spans",
+        F.transform(
+            F.filter("turns", lambda t: t["trained"]),
+            lambda t: F.struct(
+                t["start"].cast("bigint").alias("start"),
+                F.length(t["body"]).cast("bigint").alias("length"),
+            ),
+        ).alias("loss_spans"),
         "attachments",
         F.aggregate(
             "attachments", F.lit(0).cast("bigint"), lambda total, a: total + a["tokens"]
@@ -219,6 +187,31 @@ def format_conversations(
     )
 
 
+def _written(parts: Column, seen: Column) -> Column:
+    """The visitor: a turn's parts in order, of which ``seen`` attachments came earlier."""
+
+    def placeholder(part: Column, number: Column) -> Column:
+        return F.concat(F.lit("<"), part["type"], F.lit(":"), number.cast("string"), F.lit(">"))
+
+    return F.aggregate(
+        parts,
+        F.struct(F.lit("").alias("out"), seen.alias("seen")),
+        lambda state, part: F.when(
+            is_text(part),
+            F.struct(
+                F.concat(state["out"], escape(part["text"])).alias("out"),
+                state["seen"].alias("seen"),
+            ),
+        ).otherwise(
+            F.struct(
+                F.concat(state["out"], placeholder(part, state["seen"] + 1)).alias("out"),
+                (state["seen"] + 1).alias("seen"),
+            )
+        ),
+        lambda state: state["out"],
+    )
+
+
 def parse_turns(formatted: Column) -> Column:
     """The turns of a formatted conversation: array of (role, content), unescaped.
 
@@ -240,18 +233,27 @@ def parse_turns(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, loss_spans: Column) -> Column:
-    """All text under the loss mask, unescaped, with nothing between the spans."""
-    return F.array_join(
-        F.transform(
-            loss_spans,
-            lambda s: unescape(
-                F.substring(
-                    formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")
-                )
-            ),
-        ),
-        "",
+    """All text under the loss mask, unescaped, with nothing between the spans.
+
+    The text is cut once into pieces of equal numbers of characters, and a span is read from
+    the pieces it lies in; to count characters from the front for each span would take the
+    square of a long conversation.
+    """
+    pieces = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+
+    def read(held: Column, span: Column) -> Column:
+        first = F.floor(span["start"] / PIECE_CHARS).cast("int")
+        last = F.floor((span["start"] + span["length"]) / PIECE_CHARS).cast("int")
+        near = F.array_join(F.slice(held, first + 1, last - first + 1), "")
+        at = (span["start"] - first * PIECE_CHARS + 1).cast("int")
+        return unescape(F.substring(near, at, span["length"].cast("int")))
+
+    # As the element of an array the pieces are made once, not for each span.
+    read_all = F.transform(
+        F.array(pieces),
+        lambda held: F.array_join(F.transform(loss_spans, lambda s: read(held, s)), ""),
     )
+    return F.get(read_all, F.lit(0))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
