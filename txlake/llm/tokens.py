@@ -22,7 +22,10 @@ import pyarrow as pa
 from txlake.llm.text import mix, slices, span_hashes, spans, utf8
 
 BYTE_BPE = "byte_bpe_50k.json"
-KEPT_WORDS = 150_000
+#: Words whose ids a worker keeps, at most: some 70 bytes each.
+KEPT_WORDS = 900_000
+#: Parts of words that it keeps besides, in each of two generations: some 200 bytes each.
+KEPT_PARTS = 50_000
 BATCH_BYTES = 3 << 20
 
 #: Fixed value: what the byte-level vocabulary writes for a leading space.
@@ -75,21 +78,78 @@ class _Words(dict):
         return _Words(self._learn, self)
 
 
+class _KnownWords:
+    """Ids of words by the hash of a word and its place, in arrays.
+
+    Hashes are sorted, so the words of a batch are looked up at once. An entry also has the
+    word's length, place, first and last eight bytes, so that another word with its hash is
+    told apart.
+    """
+
+    def __init__(self) -> None:
+        self._keys = np.zeros(0, np.uint64)
+        self._entries = np.zeros(0, np.int32)
+        self._marks = np.zeros((3, 1024), np.uint64)
+        self._starts = np.zeros(1025, np.int64)
+        self.ids = np.zeros(4096, "u4")
+
+    def __len__(self) -> int:
+        return len(self._keys)
+
+    def find(self, keys: np.ndarray, marks: np.ndarray) -> np.ndarray | None:
+        """The entry of each of ``keys``, -1 if there is none; None if a mark is not its own."""
+        at = np.searchsorted(self._keys, keys)
+        at[at == len(self._keys)] = 0
+        if not len(self._keys):
+            return np.full(len(keys), -1)
+        entries = np.where(self._keys[at] == keys, self._entries[at], -1)
+        known = entries >= 0
+        if not np.array_equal(self._marks[:, entries[known]], marks[:, known]):
+            return None
+        return entries
+
+    def add(self, keys: np.ndarray, marks: np.ndarray, ids: list[bytes]) -> np.ndarray:
+        """New entries for ``keys``, which are sorted and not known."""
+        n, more = len(self), len(keys)
+        while n + more > self._marks.shape[1]:
+            self._marks = np.concatenate([self._marks, np.zeros_like(self._marks)], axis=1)
+            self._starts = np.append(self._starts, np.zeros(len(self._starts) - 1, np.int64))
+        flat = np.frombuffer(b"".join(ids), "u4")
+        ends = self._starts[n] + np.cumsum(np.fromiter(map(len, ids), np.int64, more) // 4)
+        while more and ends[-1] > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        self.ids[self._starts[n] : self._starts[n] + len(flat)] = flat
+        self._starts[n + 1 : n + more + 1] = ends
+        self._marks[:, n : n + more] = marks
+        entries = np.arange(n, n + more)
+        at = np.searchsorted(self._keys, keys)
+        self._keys = np.insert(self._keys, at, keys)
+        self._entries = np.insert(self._entries, at, entries.astype(np.int32))
+        return entries
+
+    def places(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each entry begin, and how many there are."""
+        starts = self._starts[entries]
+        return starts, self._starts[entries + 1] - starts
+
+
 class Encoder:
     """Encodes texts to unsigned 32-bit ids in native order, without special tokens.
 
-    Words are kept in two generations of at most ``kept_words`` each, so that frequent
-    ones stay and memory is bounded.
+    The ids of at most ``kept_words`` words, and of the words of one batch more, are kept;
+    then they are learned anew. Parts of words are kept in two generations.
     """
 
-    def __init__(self, path: str, kept_words: int = KEPT_WORDS) -> None:
+    def __init__(
+        self, path: str, kept_words: int = KEPT_WORDS, kept_parts: int = KEPT_PARTS
+    ) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._kept_words = kept_words
+        self._kept_words, self._kept_parts = kept_words, kept_parts
+        self._known = _KnownWords()
         self._words = _Words(self._learn)
-        self._heads = _Words(self._head)
         self._tails = _Words(self._whole)
         self.size = self._tokenizer.get_vocab_size()
         self._marks = _byte_marks()
@@ -129,10 +189,11 @@ class Encoder:
         return gaps == len(pieces) - 1 == text.count(" ") + text.count("\n")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for kept in (self._heads, self._tails):
-            if len(kept) > self._kept_words:
-                kept.clear()
-        if len(self._words) > self._kept_words:
+        if len(self._known) > self._kept_words:
+            self._known = _KnownWords()
+        if len(self._tails) > self._kept_parts:
+            self._tails.clear()
+        if len(self._words) > self._kept_parts:
             self._words = self._words.younger()
         regular = [
             bool(t) and self._regular(t) and not any(a in t for a in self._added) for t in texts
@@ -154,38 +215,47 @@ class Encoder:
         before = data[np.maximum(starts - 1, 0)]
         place = np.where(starts == offsets[owners], 0, np.where(before == 10, 1, 2))
         keys = mix(span_hashes(data, starts, ends) + place.astype(np.uint64))
-        _, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        if not _same_ends(data, starts, ends, first[which]):  # two words with one hash
-            return [self._whole(t.decode()) for t in texts]
-        feed = self._whole("\n")
-        order = np.argsort(place[first], kind="stable")
-        cuts = np.searchsorted(place[first][order], [0, 1, 2, 3])
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.append(True, keys[1:] != keys[:-1])
+        first, keys = order[new], keys[new]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        marks = _word_marks(data, starts, ends, place)
+        known = self._known
+        entries = known.find(keys, marks[:, first])
+        if entries is None or not np.array_equal(marks, marks[:, first[which]]):
+            return [self._whole(t.decode()) for t in texts]  # two words with one hash
+        unknown = np.flatnonzero(entries < 0)
+        asked = first[unknown]
         raw = data.tobytes()
-        words = [
-            raw[a:b]
-            for a, b in zip(
-                starts[first][order].tolist(), ends[first][order].tolist(), strict=True
+        ids = [
+            self._placed(raw[a:b].decode(), p)
+            for a, b, p in zip(
+                starts[asked].tolist(), ends[asked].tolist(), place[asked].tolist(), strict=True
             )
         ]
-        ids = list(map(self._heads.__getitem__, words[: cuts[1]]))
-        ids += [feed + i for i in map(self._heads.__getitem__, words[cuts[1] : cuts[2]])]
-        ids += map(self._words.__getitem__, words[cuts[2] :])
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        held = np.frombuffer(b"".join(ids), "u4")
-        which = np.argsort(order)[which]
+        entries[unknown] = known.add(keys[unknown], marks[:, asked], ids)
+        begin, lengths = known.places(entries)
         n = lengths[which]
         stops = np.cumsum(n)
-        at = np.repeat((np.cumsum(lengths) - lengths)[which] - (stops - n), n)
-        out = held[at + np.arange(len(at))].tobytes()
+        at = np.repeat(begin[which] - (stops - n), n)
+        out = known.ids[at + np.arange(len(at))].tobytes()
         last = np.searchsorted(owners, np.arange(len(texts)), side="right") - 1
         cuts = [0, *(4 * stops[last]).tolist()]
         return [out[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
+    def _placed(self, word: str, place: int) -> bytes:
+        """The ids of a word behind a space (2), a line feed (1) or nothing (0)."""
+        if place == 2:
+            return self._learn(word)
+        return self._tails[b"\n"] + self._head(word) if place else self._head(word)
+
 
-def _same_ends(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray
-) -> bool:
-    """True if each word has the length, first and last eight bytes of the word ``like`` it.
+def _word_marks(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray
+) -> np.ndarray:
+    """Of each word: its length and place, its first and its last eight bytes.
 
     That is the whole word up to sixteen bytes.
     """
@@ -195,11 +265,7 @@ def _same_ends(
     shift = (8 * np.maximum(8 - lengths, 0)).astype(np.uint64)
     heads = np.ascontiguousarray(views[starts]).view("<u8").ravel() << shift
     tails = np.ascontiguousarray(views[np.maximum(ends - 8, starts)]).view("<u8").ravel() << shift
-    return bool(
-        np.array_equal(lengths, lengths[like])
-        and np.array_equal(heads, heads[like])
-        and np.array_equal(tails, tails[like])
-    )
+    return np.stack([(4 * lengths + place).astype(np.uint64), heads, tails])
 
 
 @lru_cache(maxsize=2)
