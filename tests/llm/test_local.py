@@ -27,6 +27,26 @@ def test_encoder_equals_library():
         assert np.frombuffer(ids, "u4").tolist() == want, text
 
 
+@pytest.mark.parametrize("bits", [0, 3, 64])
+def test_encoder_tells_words_with_one_hash_apart(monkeypatch, bits):
+    """Also words that were learned in an earlier batch, and after words were forgotten."""
+    from txlake.llm import tokens
+
+    hashes, mix = tokens.span_hashes, tokens.mix
+    mask = np.uint64((1 << bits) - 1)
+    monkeypatch.setattr(tokens, "span_hashes", lambda *a: hashes(*a) & mask)
+    monkeypatch.setattr(tokens, "mix", lambda x: mix(x) & mask)
+    encoder = Encoder(vocabulary_path(), kept_words=40)
+    rng = random.Random(5)
+    for _ in range(30):
+        texts = [" ".join(rng.choice(["é", "a\nb", "cat,", "w"]) * rng.randrange(1, 6) + str(rng.randrange(30))
+                          for _ in range(rng.randrange(1, 30))) for _ in range(20)]
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            want = encoder._tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "u4").tolist() == want, text
+        assert len(encoder._known) <= 40 + 600
+
+
 def test_patterns_use_up_the_histogram():
     rng = random.Random(2)
     for _ in range(100):
