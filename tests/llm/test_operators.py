@@ -421,6 +421,76 @@ def test_line_dedup_recall_on_lines_of_the_tables(spark):
     assert len(wanted & removed) >= 0.9 * len(wanted)
 
 
+def brute_removed(spark, texts):
+    """Which texts follow one that they are connected to, by edit similarity of all pairs."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "a long, x string")
+    near = (
+        docs.crossJoin(docs.toDF("b", "y"))
+        .filter("a < b and levenshtein(x, y) <= floor(0.2 * greatest(length(x), length(y)) + 1e-9)")
+        .select("a", "b")
+        .collect()
+    )
+    first = list(range(len(texts)))
+    for _ in texts:
+        for a, b in near:
+            first[a] = first[b] = min(first[a], first[b])
+    return {k for k, f in enumerate(first) if f < k}
+
+
+def removed_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"] for r in dedup_lines(docs).filter("n_removed = 1").collect()}
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_line_dedup_compares_all_of_a_group(spark, monkeypatch, block):
+    """Lines of the same words in any order are one group, in which few are like a leader."""
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=5)) for _ in range(40)]
+    texts = [" ".join(draw.sample(words, 40)) for _ in range(50)]
+    # Turned by three words, a line is like the one before; turned by six, it is not.
+    chains = [draw.sample(words, 40) for _ in range(3)]
+    texts += [" ".join(c[k:] + c[:k]) for c in chains for k in range(0, 15, 3)]
+    wanted = brute_removed(spark, texts)
+    assert wanted == {k for k in range(50, 65) if k % 5}
+    assert removed_of(spark, texts) == wanted
+
+
+def test_line_dedup_compares_lines_of_far_simhashes(spark):
+    """One long word is nearly all of a line, but one of many words of its SimHash."""
+    draw = random.Random(4)
+    texts = []
+    for _ in range(6):
+        long = "".join(draw.choices("abcdefghij", k=90))
+        texts += [long + " " + " ".join(draw.sample("klmnopqrstuvwxyz", 8)) for _ in range(2)]
+    wanted = brute_removed(spark, texts)
+    assert wanted == {k for k in range(12) if k % 2}
+    assert removed_of(spark, texts) == wanted
+
+
+def test_line_dedup_compares_all_lines_of_close_simhashes(spark, monkeypatch):
+    """Long lines without a key in common, of two SimHashes one bit apart."""
+    draw = random.Random(6)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(120)]
+    texts = []
+    for _ in range(12):
+        order = draw.sample(words, 120)
+        texts += [" ".join(order), " ".join(["another", *order[1:]])]
+    features = line_dedup.line_features
+
+    def two_simhashes(classes, rows):
+        lines = line_dedup.placed_lines(classes, rows).select("id", F.expr("line like 'another%'").alias("odd"))
+        return features(classes, rows).join(lines, "id").select(
+            "id",
+            F.expr("if(odd, 1234L, 1235L)").alias("simhash"),
+            F.transform("keys", lambda key: F.xxhash64(key, "id")).alias("keys"),
+        )
+
+    monkeypatch.setattr(line_dedup, "line_features", two_simhashes)
+    assert removed_of(spark, texts) == brute_removed(spark, texts) == {k for k in range(24) if k % 2}
+
+
 def test_line_dedup_keeps_columns_of_any_name(spark):
     names = ["n_lines", "n_removed", "row_number", "lines", "dropped", "kept_0", "order", "label", "line_no"]
     docs = spark.createDataFrame(
