@@ -86,6 +86,20 @@ def test_within_join(spark, seconds):
     assert "NestedLoop" not in plan(joined) and "Cartesian" not in plan(joined)
 
 
+def test_within_join_deduplicates_shared_rows_once(spark):
+    rows = spark.range(3000).selectExpr(
+        "concat('k', id % 3) as key", "nullif(id % 500, 7) as time", "id % 1000 as v"
+    )
+    rows = rows.dropDuplicates().filter("time is not null")
+    joined = within_join(rows, rows, "key", "time", 10).filter("next_time > time")
+    assert joined.columns == ["key", "time", "v", "next_key", "next_time", "next_v"]
+    found = Counter(map(tuple, joined.collect()))
+    assert "ReusedExchange" in joined._jdf.queryExecution().executedPlan().toString()
+    seen = {(f"k{i % 3}", i % 500, i % 1000) for i in range(3000) if i % 500 != 7}
+    want = Counter((*a, *b) for a in seen for b in seen if a[0] == b[0] and 0 < b[1] - a[1] <= 10)
+    assert found == want
+
+
 def test_cubes(spark):
     draw = random.Random(4)
     rows = [
