@@ -457,6 +457,39 @@ def test_line_dedup_compares_all_of_a_group(spark, monkeypatch, block):
     assert removed_of(spark, texts) == wanted
 
 
+def test_line_dedup_decides_alike_with_and_without_bounds(spark):
+    """Bounds by words only save time: pairs of one to four changes on either side of 0.8."""
+    draw = random.Random(8)
+    texts = []
+    for k in range(60):
+        words = ["".join(draw.choices("abcdé1", k=draw.randint(1, 9))) for _ in range(draw.randint(1, 15))]
+        near = list(words)
+        for _ in range(k % 5):
+            at = draw.randrange(len(near))
+            near[at : at + 1] = draw.choice(([], ["x"], [near[at], "yy"], [near[at] + "z"]))
+            near = near or ["x"]
+        texts += [" ".join(words), " ".join(near)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row_number long, text string")
+    classes = rows.selectExpr("row_number id", "named_struct('row', row_number, 'line_no', 0) first")
+    pairs = spark.range(0, 120, 2).selectExpr("id a", "id + 1 b")
+    found = [
+        {r["a"]: r["similar"] for r in line_dedup.compared(pairs, classes, rows, 0.8, bounds).collect()}
+        for bounds in (True, False)
+    ]
+    # Brute force, in this process.
+    wanted = {}
+    for k in range(0, 120, 2):
+        x, y = texts[k : k + 2]
+        line = list(range(len(y) + 1))
+        for i, c in enumerate(x):
+            above, line = line, [i + 1]
+            for j, d in enumerate(y):
+                line.append(min(above[j] + (c != d), above[j + 1] + 1, line[j] + 1))
+        wanted[k] = line[-1] <= int(0.2 * max(len(x), len(y)) + 1e-9)
+    assert 10 < sum(wanted.values()) < 50
+    assert found == [wanted, wanted]
+
+
 def test_line_dedup_compares_lines_of_far_simhashes(spark):
     """One long word is nearly all of a line, but one of many words of its SimHash."""
     draw = random.Random(4)
