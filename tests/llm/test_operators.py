@@ -490,6 +490,56 @@ def test_line_dedup_decides_alike_with_and_without_bounds(spark):
     assert found == [wanted, wanted]
 
 
+def test_line_dedup_writes_no_pairs_of_unlike_lines(spark, monkeypatch):
+    """Lines that share long words only: they are compared where they meet, not as pairs."""
+    draw = random.Random(12)
+    shared = "extraordinarily internationalization counterrevolutionary"
+    texts = []
+    for _ in range(150):
+        words = ["".join(draw.choices("abcdefghijklmnop", k=3)) for _ in range(100)]
+        texts.append(" ".join([*words, shared]))
+    # Similar to the one before, but not by its words.
+    texts.append(" ".join(w[:-1] + "q" for w in texts[7].split(" ")[:-3]) + f" {shared}")
+    written = []
+    compared = line_dedup.compared
+
+    def counted(pairs, *rest):
+        written.append(pairs.count())
+        return compared(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "compared", counted)
+    wanted = brute_removed(spark, texts)
+    assert removed_of(spark, texts) == wanted
+    assert sum(written) < 1000
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.9])
+def test_line_dedup_heads_leave_similar_lines_open(spark, similarity):
+    """Heads tell no two lines apart that are similar, wherever the changes are."""
+    draw = random.Random(13)
+    texts = []
+    for k in range(300):
+        a = "".join(draw.choices("ab é", k=draw.randint(1, 60)))
+        b = list(a)
+        for _ in range(draw.randint(0, max(1, len(a) * (1 + k % 2) // 4))):
+            at = min(len(b), draw.randrange(len(a) if k % 3 else 1 + len(a) // 4))
+            b[at : at + draw.randint(0, 1)] = draw.choice(([], ["x"], ["y", "b"]))
+        texts.append((a, "".join(b) or "x"))
+    parts = "named_struct('chars', length({0}), 'head', left({0}, length({0}) - length({0}) * 2 div 3)) {0}"
+    told = (
+        spark.createDataFrame(texts, "a string, b string")
+        .withColumn("most", F.expr(f"floor((1 - {similarity}D) * greatest(length(a), length(b)) + 1e-9)"))
+        .withColumn("similar", F.expr("levenshtein(a, b) <= most"))
+        .selectExpr("similar", *[parts.format(c) for c in "ab"])
+        .withColumn("allowed", line_dedup._allowed("a", "b", similarity))
+        .withColumn("open", line_dedup._maybe_similar("a", "b", similarity))
+        .collect()
+    )
+    assert all(r["allowed"] and r["open"] for r in told if r["similar"])
+    assert sum(r["similar"] for r in told) > 50
+    assert sum(r["allowed"] and not r["open"] for r in told) > 10
+
+
 def test_line_dedup_compares_lines_of_far_simhashes(spark):
     """One long word is nearly all of a line, but one of many words of its SimHash."""
     draw = random.Random(4)
