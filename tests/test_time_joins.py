@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -100,6 +101,32 @@ def test_within_join_deduplicates_shared_rows_once(spark):
     assert found == want
 
 
+def test_within_join_moves_shared_rows_once(spark):
+    """Rows that are joined with themselves: one exchange for both sides, few rows twice."""
+    rows = spark.range(4000).selectExpr(
+        "concat('k', id % 3) as key", "nullif(id % 500, 7) - 250 as time", "id % 1000 as v"
+    )
+    joined = within_join(rows, rows, "key", "time", 10).filter("next_time > time")
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, -1)
+    try:
+        found = Counter(map(tuple, joined.collect()))
+        plan_text = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(conf, before)
+    ran = plan_text.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in ran and len(re.findall(r"- Exchange hashpartitioning", ran)) == 1
+    seen = [(f"k{i % 3}", i % 500 - 250, i % 1000) for i in range(4000) if i % 500 != 7]
+    want = Counter()
+    by_place = Counter(seen)
+    for a, n in by_place.items():
+        for b, m in by_place.items():
+            if a[0] == b[0] and 0 < b[1] - a[1] <= 10:
+                want[(*a, *b)] += n * m
+    assert found == want
+
+
 def test_cubes(spark):
     draw = random.Random(4)
     rows = [
